@@ -1,4 +1,4 @@
-"""Command line of the three jobs: ``spark-submit contrail/jobs.py publish|land|process``."""
+"""The three jobs: ``python -m contrail.jobs publish|land|process``."""
 
 from __future__ import annotations
 
@@ -40,7 +40,7 @@ def land_job(
     land(messages, settings.raw_root, settings.landing_checkpoint, within).awaitTermination()
 
 
-def process_job(spark: SparkSession, settings: Settings, source: str) -> None:
+def process_job(spark: SparkSession, settings: Settings, source: str, compact: bool) -> None:
     trips = (
         read_trips(spark, settings.trips_path)
         if source == "file"
@@ -54,6 +54,7 @@ def process_job(spark: SparkSession, settings: Settings, source: str) -> None:
         settings.processed_root,
         settings.feature_store(),
         settings.quarter,
+        compact=compact,
     )
 
 
@@ -66,7 +67,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
         if name == "land":
             job.add_argument("--drop-repeats-within", metavar="INTERVAL")
-    jobs.add_parser("process").add_argument("--source", choices=("file", "lake"), default="file")
+    process = jobs.add_parser("process")
+    process.add_argument("--source", choices=("file", "lake"), default="file")
+    process.add_argument("--compact", action="store_true")
     return parser
 
 
@@ -76,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = create_spark_session(f"trip-features-{args.job}")
     try:
         if args.job == "process":
-            process_job(spark, settings, args.source)
+            process_job(spark, settings, args.source, args.compact)
             return
         options = dict(pair.split("=", 1) for pair in args.option)
         if args.job == "publish":

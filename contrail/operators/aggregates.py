@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -112,9 +113,18 @@ def aggregate_table(trips: DataFrame, name: str, keys: tuple[str, ...] | None =
     )
 
 
-def aggregate_features(trips: DataFrame) -> dict[str, DataFrame]:
+def stamped(table: DataFrame, processed_at: datetime) -> DataFrame:
+    return table.withColumn("processed_at", F.lit(processed_at))
+
+
+def aggregate_features(
+    trips: DataFrame, processed_at: datetime | None = None
+) -> dict[str, DataFrame]:
     """All four tables of enriched trips, each a plan of its own."""
-    return {name: aggregate_table(trips, name) for name in FEATURE_TABLES}
+    tables = {name: aggregate_table(trips, name) for name in FEATURE_TABLES}
+    if processed_at is None:
+        return tables
+    return {name: stamped(table, processed_at) for name, table in tables.items()}
 
 
 def aggregate_together(trips: DataFrame, keysets: Mapping[str, tuple[str, ...]]) -> DataFrame:

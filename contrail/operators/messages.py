@@ -10,10 +10,19 @@ from contrail.operators.clean import lower_names
 from contrail.schemas import MESSAGE_VALUE, TRIP_COLUMNS
 
 
+# What stands in the key for a column that the input lacks (not for a blank one).
+KEY_DEFAULTS = {"airline": "X", "flight_number": "0", "year": "2015", "month": "01", "day": "01"}
+
+
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def _present(trips: DataFrame, name: str) -> Column:
+    """The column as text, blank where missing; null when the input has no such column."""
+    return _text(name) if name in trips.columns else F.lit(None).cast("string")
+
+
 def publishable() -> Column:
     """A trip is published when it has a flight number and a departure time; blank is missing."""
     return (_text("flight_number") != "") & (_text("departure_time") != "")
@@ -23,17 +32,18 @@ def keep_publishable(trips: DataFrame) -> DataFrame:
     return trips.filter(publishable())
 
 
-def message_key() -> Column:
+def message_key(trips: DataFrame) -> Column:
     """``airline-flight-YYYYMMDD`` without padding. Equal keys share a topic partition."""
+    part = {c: F.coalesce(_present(trips, c), F.lit(KEY_DEFAULTS[c])) for c in KEY_DEFAULTS}
     dash = F.lit("-")
-    parts = [_text("airline"), dash, _text("flight_number"), dash]
-    return F.concat(*parts, _text("year"), _text("month"), _text("day"))
+    date = (part["year"], part["month"], part["day"])
+    return F.concat(part["airline"], dash, part["flight_number"], dash, *date)
 
 
-def message_value(ingested_at: Column) -> Column:
-    """JSON object of all trip columns as text (blank where missing) plus the ingestion time."""
-    fields = [_text(c).alias(c) for c in TRIP_COLUMNS]
-    payload = F.struct(*fields, ingested_at.cast("string").alias("ingested_at"))
+def message_value(trips: DataFrame, ingested_at: Column) -> Column:
+    """JSON object of all trip columns as text plus the ingestion time."""
+    fields = [_present(trips, c).alias(c) for c in TRIP_COLUMNS]
+    payload = F.struct(*fields, ingested_at.alias("ingested_at"))
     return F.to_json(payload, {"ignoreNullFields": "false"})
 
 
@@ -45,15 +55,12 @@ def utc_now() -> Column:
     )
 
 
-def to_messages(trips: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """One ``key``, ``value`` row per publishable trip."""
-    return (
-        trips.transform(lower_names)
-        .transform(keep_publishable)
-        .select(
-            message_key().alias("key"),
-            message_value(utc_now() if ingested_at is None else ingested_at).alias("value"),
-        )
+def to_messages(trips: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """One ``key``, ``value`` row per publishable trip, stamped with the current time by default."""
+    trips = trips.transform(lower_names)
+    value = message_value(trips, utc_now() if ingested_at is None else F.lit(ingested_at))
+    return trips.transform(keep_publishable).select(
+        message_key(trips).alias("key"), value.alias("value")
     )
 
 

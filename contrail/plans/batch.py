@@ -7,17 +7,15 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from contrail.operators.audit import audit_record, counted
 from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import engineer_features
-from contrail.plans.feature_tables import all_feature_tables
-from contrail.sinks.lake import in_partitions, write_processed
+from contrail.plans.feature_tables import feature_groups
+from contrail.sinks.lake import write_processed
 from contrail.sinks.store import FeatureStore, load_features
 
 RUN_LOG = "pipeline_runs"
@@ -70,11 +68,6 @@ def rows_seen(observation: Observation) -> int:
     return observation.get["rows"]
 
 
-def group_count(tables: dict[str, DataFrame]) -> int:
-    """Rows of all tables, in one job."""
-    return reduce(DataFrame.unionAll, [t.select("quarter") for t in tables.values()]).count()
-
-
 def run(
     spark: SparkSession,
     raw_trips: DataFrame,
@@ -84,9 +77,11 @@ def run(
     store: FeatureStore,
     quarter: str | None = None,
     processed_at: datetime | None = None,
+    compact: bool = False,
 ) -> RunResult:
     """Jobs: one over the lookups, one that reads the raw trips and writes the processed lake, one
-    that groups the processed trips, and the small writes of tables and log.
+    that groups the processed trips, and the small writes of tables and log. ``compact`` is for raw
+    input whose rows are in no date order (see :func:`write_processed`).
 
     The groups are read from the partitions just written, which are columnar, typed and durable:
     the raw text is parsed once, nothing is cached, and a lost executor costs no second parse.
@@ -99,20 +94,18 @@ def run(
         raw, raw_rows = counted(raw_trips, "raw")
         cleaned = raw.transform(clean).transform(select_quarter, quarter)
         featured = cleaned.transform(enrich, lookups).transform(engineer_features)
-        featured, featured_rows = counted(featured, "featured")
-        partitions = write_processed(featured, processed_root)
-        stage.records_in, stage.records_out = rows_seen(raw_rows), rows_seen(featured_rows)
+        written = write_processed(featured, processed_root, compact)
+        stage.records_in, stage.records_out = rows_seen(raw_rows), written.rows
 
     with log.stage("aggregate") as stage:
         processed = spark.read.schema(featured.schema).parquet(processed_root)
-        processed = processed.filter(in_partitions(partitions))
-        tables = all_feature_tables(processed, lookups, stamp)
-        totals = tables["hourly_features"].agg(F.sum("total_flights").alias("trips"))
-        stage.records_in = totals.first()["trips"] or 0
-        stage.records_out = group_count(tables)
+        groups = feature_groups(processed.filter(written.predicate()), lookups)
+        stage.records_in, stage.records_out = groups.totals()
+        row_count = stage.records_out
 
-    with log.stage("load") as stage_load:
+    with log.stage("load") as stage:
+        tables = groups.tables(stamp)
         load_features(tables, store, quarter)
-        stage_load.records_in = stage_load.records_out = stage.records_out
+        stage.records_in = stage.records_out = row_count
 
     return RunResult(log.run_id, tables)

@@ -7,6 +7,8 @@ every count must show; then the trips are joined first.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,6 +19,7 @@ from contrail.operators.aggregates import (
     FEATURE_TABLES,
     aggregate_table,
     aggregate_together,
+    stamped,
     table_of,
 )
 from contrail.operators.enrich import (
@@ -56,21 +59,41 @@ def feature_table(trips: DataFrame, lookups: Lookups, name: str) -> DataFrame:
     return _named(aggregate_table(trips, name, FEATURE_TABLES[name].codes), name, lookups)
 
 
-def all_feature_tables(
-    trips: DataFrame, lookups: Lookups, processed_at: datetime | None = None
-) -> dict[str, DataFrame]:
-    """All four tables from one scan of the trips. The groups are written once and then split."""
+@dataclass(frozen=True)
+class FeatureGroups:
+    """The rows of all four tables, written once, with the keys that each is grouped by."""
+
+    rows: DataFrame
+    keysets: Mapping[str, tuple[str, ...]]
+    lookups: Lookups
+
+    def tables(self, processed_at: datetime | None = None) -> dict[str, DataFrame]:
+        return {name: self._table(name, processed_at) for name in self.keysets}
+
+    def _table(self, name: str, processed_at: datetime | None) -> DataFrame:
+        table = table_of(self.rows, name, self.keysets[name])
+        if self.lookups.unique:
+            table = _named(table, name, self.lookups)
+        return table if processed_at is None else stamped(table, processed_at)
+
+    def totals(self) -> tuple[int, int]:
+        """Trips that were grouped, and rows of all tables."""
+        in_one_table = F.col("feature_table") == next(iter(self.keysets))
+        found = self.rows.agg(
+            F.coalesce(F.sum(F.when(in_one_table, F.col("trips"))), F.lit(0)).alias("trips"),
+            F.count("*").alias("rows"),
+        ).first()
+        return found["trips"], found["rows"]
+
+
+def feature_groups(trips: DataFrame, lookups: Lookups) -> FeatureGroups:
+    """All four tables from one scan of the trips."""
     if lookups.unique:
         keysets = {name: table.codes for name, table in FEATURE_TABLES.items()}
         source = trips
     else:
         keysets = {name: table.keys for name, table in FEATURE_TABLES.items()}
         source = _enriched(trips, lookups)
-    groups = materialise(aggregate_together(source, keysets), "feature_groups", "feature_table")
-    tables = {name: table_of(groups, name, keys) for name, keys in keysets.items()}
-    if lookups.unique:
-        tables = {name: _named(table, name, lookups) for name, table in tables.items()}
-    if processed_at is not None:
-        stamp = F.lit(processed_at)
-        tables = {name: t.withColumn("processed_at", stamp) for name, t in tables.items()}
-    return tables
+    together = aggregate_together(source, keysets)
+    rows = materialise(together, "feature_groups", partition_by="feature_table")
+    return FeatureGroups(rows, keysets, lookups)

@@ -21,7 +21,7 @@ from contrail.operators.enrich import (
     enrich,
 )
 from contrail.plans.batch import RUN_LOG, rows_seen, run
-from contrail.plans.feature_tables import all_feature_tables, feature_table
+from contrail.plans.feature_tables import feature_groups, feature_table
 from contrail.schemas import CALENDAR_COLUMNS, IDENTITY_COLUMNS, MEASURE_COLUMNS, MESSAGE_TOPIC
 from contrail.schemas import TRIP_COLUMNS
 from contrail.scratch import new_path
@@ -159,7 +159,7 @@ def _csv(df: DataFrame, label: str) -> str:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.to_messages(fixture.raw_trips(spark, sf_dir), F.lit(INGESTED_AT))
+    return messages.to_messages(fixture.raw_trips(spark, sf_dir), INGESTED_AT)
 
 
 # Sources ----------------------------------------------------------------------------------------
@@ -531,9 +531,9 @@ def _run_all(spark: SparkSession, sf_dir: str, quarter: str | None = None) -> Fo
     store = FolderStore(new_path(spark, "store"))
     run(
         spark,
-        fixture.raw_trips(spark, sf_dir),
-        fixture.carriers(spark, sf_dir),
-        fixture.airports(spark, sf_dir),
+        csv_scan_all_string(spark, sf_dir),
+        csv_lookup_carriers(spark, sf_dir),
+        csv_lookup_airports(spark, sf_dir),
         new_path(spark, "processed"),
         store,
         quarter,
@@ -543,7 +543,7 @@ def _run_all(spark: SparkSession, sf_dir: str, quarter: str | None = None) -> Fo
 
 @query(_ALL_RAW + _table_sql("airline_features"))
 def run_store_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run from raw trips, then the carrier table as the store holds it."""
+    """The whole run from the CSV files, then the carrier table as the store holds it."""
     return _run_all(spark, sf_dir).read(spark, "airline_features").drop("processed_at")
 
 
@@ -573,7 +573,8 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_ALL + _table_sql("airport_features") + " HAVING quarter = 'Q2' AND origin_airport = '4'")
 def feature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = FolderStore(new_path(spark, "store"))
-    load_features(all_feature_tables(_grouped_input(spark, sf_dir), _lookups(spark, sf_dir)), store)
+    groups = feature_groups(_grouped_input(spark, sf_dir), _lookups(spark, sf_dir))
+    load_features(groups.tables(), store)
     return lookup_features(spark, store, "airport_features", "Q2", origin_airport="4")
 
 

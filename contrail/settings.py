@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from contrail.functions.trips import QUARTER_MONTHS
-from contrail.sinks.store import JdbcStore
+from contrail.sinks.store import FeatureStore, FolderStore, JdbcStore
 from contrail.sinks.topic import broker_options
 
+_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -22,6 +24,7 @@ class Settings:
     topic: str = "flight-records-raw"
     jdbc_url: str | None = None
     jdbc_driver: str = "org.postgresql.Driver"
+    store_root: str | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -38,6 +41,7 @@ class Settings:
             topic=env.get("KAFKA_TOPIC", cls.topic),
             jdbc_url=f"jdbc:postgresql://{host}:{port}/{database}" if host else None,
             jdbc_driver=env.get("JDBC_DRIVER", cls.jdbc_driver),
+            store_root=env.get("FEATURE_STORE_ROOT"),
         )
 
     @property
@@ -67,26 +71,31 @@ class Settings:
     def topic_sink(self) -> dict[str, str]:
         return broker_options(self.broker, self.topic)
 
-    def topic_source(self, rows_per_batch: int = 5_000_000) -> dict[str, str]:
-        return {
+    def topic_source(
+        self, rows_per_batch: int | None = None, min_tasks: int | None = None
+    ) -> dict[str, str]:
+        """``rows_per_batch`` paces the reading. ``min_tasks`` splits the offset ranges of a topic
+        with few partitions, or with one that holds most rows, over more tasks."""
+        options = {
             "kafka.bootstrap.servers": self.broker,
             "subscribe": self.topic,
             "startingOffsets": "earliest",
-            "maxOffsetsPerTrigger": str(rows_per_batch),
         }
-
-    def feature_store(self, env: Mapping[str, str] = os.environ) -> JdbcStore:
-        """The database named by ``POSTGRES_HOST``; user and password must be set."""
+        if rows_per_batch is not None:
+            options["maxOffsetsPerTrigger"] = str(rows_per_batch)
+        if min_tasks is not None:
+            options["minPartitions"] = str(min_tasks)
+        return options
+
+    def feature_store(self, env: Mapping[str, str] = os.environ) -> FeatureStore:
+        """The folder ``FEATURE_STORE_ROOT``, or else the database at ``POSTGRES_HOST``, for which
+        user and password must be set."""
+        if self.store_root is not None:
+            return FolderStore(self.store_root)
         if self.jdbc_url is None:
-            raise ValueError("POSTGRES_HOST is not set")
-        return JdbcStore(
-            self.jdbc_url,
-            {
-                "user": env["POSTGRES_USER"],
-                "password": env["POSTGRES_PASSWORD"],
-                "driver": self.jdbc_driver,
-            },
-        )
+            raise ValueError("neither FEATURE_STORE_ROOT nor POSTGRES_HOST is set")
+        login = {"user": env["POSTGRES_USER"], "password": env["POSTGRES_PASSWORD"]}
+        return JdbcStore(self.jdbc_url, {**login, "driver": self.jdbc_driver})
 
 
 def create_spark_session(
@@ -99,6 +108,8 @@ def create_spark_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Repeats are remembered per trip: on local disk and the checkpoint, not on the heap.
+        .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     )
     object_store = {
         "spark.hadoop.fs.s3a.endpoint": env.get("S3_ENDPOINT"),

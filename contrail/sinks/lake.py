@@ -2,30 +2,51 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 
-def write_processed(trips: DataFrame, root: str) -> list[Row]:
-    """Replaces the partitions that ``trips`` touches, and no other; returns which ones.
+@dataclass(frozen=True)
+class Written:
+    """What a write did: its rows, and the partitions that it replaced."""
 
-    Nothing is shuffled for the write: input that is laid out by month already reaches few
-    partitions per task.
+    rows: int
+    partitions: list[Row]
+
+    def predicate(self) -> Column:
+        """On the partition columns alone, so a scan lists only these folders."""
+        each = [
+            F.col("year").eqNullSafe(p["year"]) & (F.col("quarter") == p["quarter"])
+            for p in self.partitions
+        ]
+        return reduce(lambda a, b: a | b, each, F.lit(False))
+
+
+def write_processed(trips: DataFrame, root: str, compact: bool = False) -> Written:
+    """Replaces the partitions that ``trips`` touches, and no other.
+
+    Input laid out by date reaches few partitions per task, so by default nothing is shuffled.
+    ``compact`` is for input in no order, where every task would add a file to every partition: it
+    redistributes the rows by partition, and adaptive execution splits the large partitions into
+    files of its advisory size, so a quarter that holds most rows is not written by one task.
+
+    The observed rows are counted in the tasks that write, after any shuffle.
     """
-    touched = Observation("touched partitions")
+    placed = trips.hint("rebalance", "year", "quarter") if compact else trips
+    seen = Observation("written")
+    partition = F.struct("year", "quarter")
     (
-        trips.observe(touched, F.collect_set(F.struct("year", "quarter")).alias("partitions"))
+        placed.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set(partition).alias("partitions"),
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "quarter")
         .parquet(root)
     )
-    return list(touched.get["partitions"])
-
-
-def in_partitions(partitions: list[Row]):
-    """Predicate on the partition columns alone, so the scan lists only these folders."""
-    each = [F.col("year").eqNullSafe(p["year"]) & (F.col("quarter") == p["quarter"]) for p in partitions]
-    return reduce(lambda a, b: a | b, each, F.lit(False))
+    return Written(seen.get["rows"], list(seen.get["partitions"]))
