@@ -109,9 +109,9 @@ def job_queries(spark: SparkSession, inputs: Inputs) -> dict[str, Callable[[], o
 
     landing(landed)
 
-    def whole_run() -> None:
+    def whole_run(processed_root: str | None) -> None:
         store = FolderStore(inputs.path("store"))
-        run(spark, inputs.trips, inputs.carriers, inputs.airports, inputs.path("processed"), store)
+        run(spark, inputs.trips, inputs.carriers, inputs.airports, store, processed_root)
 
     def four_tables() -> None:
         for table in feature_groups(inputs.clean(), inputs.lookups()).tables().values():
@@ -122,7 +122,8 @@ def job_queries(spark: SparkSession, inputs: Inputs) -> dict[str, Callable[[], o
         "csv_enrich_features": lambda: execute(inputs.featured()),
         "csv_four_tables": four_tables,
         "csv_write_processed": lambda: write_processed(inputs.featured(), inputs.path("processed")),
-        "csv_run": whole_run,
+        "csv_run": lambda: whole_run(inputs.path("processed")),
+        "csv_run_tables_only": lambda: whole_run(None),
         "csv_publish": lambda: publish(
             to_messages(inputs.trips), "parquet", {"path": inputs.path("topic")}
         ),

@@ -40,7 +40,9 @@ def land_job(
     land(messages, settings.raw_root, settings.landing_checkpoint, within).awaitTermination()
 
 
-def process_job(spark: SparkSession, settings: Settings, source: str, compact: bool) -> None:
+def process_job(
+    spark: SparkSession, settings: Settings, source: str, tables_only: bool, compact: bool
+) -> None:
     trips = (
         read_trips(spark, settings.trips_path)
         if source == "file"
@@ -51,8 +53,8 @@ def process_job(spark: SparkSession, settings: Settings, source: str, compact: b
         trips,
         read_lookup(spark, settings.carriers_path),
         read_lookup(spark, settings.airports_path),
-        settings.processed_root,
         settings.feature_store(),
+        None if tables_only else settings.processed_root,
         settings.quarter,
         compact=compact,
     )
@@ -69,7 +71,8 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--drop-repeats-within", metavar="INTERVAL")
     process = jobs.add_parser("process")
     process.add_argument("--source", choices=("file", "lake"), default="file")
-    process.add_argument("--compact", action="store_true")
+    process.add_argument("--tables-only", action="store_true", help="write no processed lake")
+    process.add_argument("--compact", action="store_true", help="for input in no date order")
     return parser
 
 
@@ -79,7 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = create_spark_session(f"trip-features-{args.job}")
     try:
         if args.job == "process":
-            process_job(spark, settings, args.source, args.compact)
+            process_job(spark, settings, args.source, args.tables_only, args.compact)
             return
         options = dict(pair.split("=", 1) for pair in args.option)
         if args.job == "publish":

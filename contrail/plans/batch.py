@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from contrail.operators.audit import audit_record, counted
 from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
-from contrail.operators.features import engineer_features
+from contrail.operators.features import add_departure_hour, engineer_features
 from contrail.plans.feature_tables import feature_groups
 from contrail.sinks.lake import write_processed
 from contrail.sinks.store import FeatureStore, load_features
@@ -73,35 +73,42 @@ def run(
     raw_trips: DataFrame,
     carriers: DataFrame,
     airports: DataFrame,
-    processed_root: str,
     store: FeatureStore,
+    processed_root: str | None = None,
     quarter: str | None = None,
     processed_at: datetime | None = None,
     compact: bool = False,
 ) -> RunResult:
     """Jobs: one over the lookups, one that reads the raw trips and writes the processed lake, one
-    that groups the processed trips, and the small writes of tables and log. ``compact`` is for raw
-    input whose rows are in no date order (see :func:`write_processed`).
+    that groups the trips, and the small writes of tables and log. ``compact`` is for raw input
+    whose rows are in no date order (see :func:`write_processed`).
 
     The groups are read from the partitions just written, which are columnar, typed and durable:
     the raw text is parsed once, nothing is cached, and a lost executor costs no second parse.
+    Without ``processed_root`` no lake is written and the raw trips are grouped as they are read.
     """
     log = RunLog(spark, store, uuid.uuid4().hex, quarter)
     stamp = processed_at or datetime.now(UTC)
-
-    with log.stage("process") as stage:
-        lookups = Lookups.measure(carriers, airports)
-        raw, raw_rows = counted(raw_trips, "raw")
-        cleaned = raw.transform(clean).transform(select_quarter, quarter)
-        featured = cleaned.transform(enrich, lookups).transform(engineer_features)
-        written = write_processed(featured, processed_root, compact)
-        stage.records_in, stage.records_out = rows_seen(raw_rows), written.rows
+    lookups = Lookups.measure(carriers, airports)
+
+    def cleaned(raw: DataFrame) -> DataFrame:
+        return raw.transform(clean).transform(select_quarter, quarter)
+
+    if processed_root is None:
+        trips = cleaned(raw_trips).transform(add_departure_hour)
+    else:
+        with log.stage("process") as stage:
+            raw, raw_rows = counted(raw_trips, "raw")
+            featured = cleaned(raw).transform(enrich, lookups).transform(engineer_features)
+            written = write_processed(featured, processed_root, compact)
+            stage.records_in, stage.records_out = rows_seen(raw_rows), written.rows
+        processed = spark.read.schema(featured.schema).parquet(processed_root)
+        trips = processed.filter(written.predicate())
 
     with log.stage("aggregate") as stage:
-        processed = spark.read.schema(featured.schema).parquet(processed_root)
-        groups = feature_groups(processed.filter(written.predicate()), lookups)
-        stage.records_in, stage.records_out = groups.totals()
-        row_count = stage.records_out
+        groups = feature_groups(trips, lookups)
+        trip_count, row_count = groups.totals()
+        stage.records_in, stage.records_out = trip_count, row_count
 
     with log.stage("load") as stage:
         tables = groups.tables(stamp)

@@ -527,15 +527,17 @@ def lake_processed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Store, log and counts --------------------------------------------------------------------------
 
 
-def _run_all(spark: SparkSession, sf_dir: str, quarter: str | None = None) -> FolderStore:
+def _run_all(
+    spark: SparkSession, sf_dir: str, quarter: str | None = None, lake: bool = True
+) -> FolderStore:
     store = FolderStore(new_path(spark, "store"))
     run(
         spark,
         csv_scan_all_string(spark, sf_dir),
         csv_lookup_carriers(spark, sf_dir),
         csv_lookup_airports(spark, sf_dir),
-        new_path(spark, "processed"),
         store,
+        new_path(spark, "processed") if lake else None,
         quarter,
     )
     return store
@@ -553,6 +555,13 @@ def run_store_route_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_all(spark, sf_dir, "Q3").read(spark, "route_features").drop("processed_at")
 
 
+@query(_ALL_RAW + _table_sql("airport_features"))
+def run_store_airport_tables_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run without a processed lake: tables straight from the CSV file."""
+    store = _run_all(spark, sf_dir, lake=False)
+    return store.read(spark, "airport_features").drop("processed_at")
+
+
 _GROUP_COUNTS = " + ".join(
     f"(SELECT count(*) FROM ({_table_sql(name)}))" for name in FEATURE_TABLES
 )

@@ -81,8 +81,10 @@ def test_raw_lake_without_files_is_empty(spark, tmp_path):
 def rerun(spark, tmp_path, changes, quarter=None, store=None, **options):
     store = store or FolderStore(str(tmp_path / "store"))
     lookups = carriers(spark), airports(spark)
-    result = run(spark, raw_trips(spark, *changes), *lookups, str(tmp_path / "processed"), store,
-                 quarter, **options)
+    options.setdefault("processed_root", str(tmp_path / "processed"))
+    result = run(
+        spark, raw_trips(spark, *changes), *lookups, store, quarter=quarter, **options
+    )
     return store, result
 
 
@@ -105,6 +107,17 @@ def test_run_writes_tables_and_log(spark, tmp_path, compact):
     assert hours.select("processed_at").distinct().count() == 1
 
 
+@pytest.mark.parametrize("quarter", [None, "Q4"])
+def test_run_without_lake_gives_the_same_tables(spark, tmp_path, quarter):
+    _, with_lake = rerun(spark, tmp_path, MONTHS, quarter)
+    store, without = rerun(spark, tmp_path / "b", MONTHS, quarter, processed_root=None)
+    for name, table in with_lake.tables.items():
+        assert rows_of(without.tables[name].drop("processed_at")) == rows_of(
+            table.drop("processed_at")
+        )
+    assert set(stage_rows(spark, store)) == {"aggregate", "load"}
+
+
 def test_run_ignores_partitions_of_earlier_input(spark, tmp_path):
     rerun(spark, tmp_path, [{"year": "2014"}, {"year": "2016"}])
     store, _ = rerun(spark, tmp_path, [{"year": "2015"}])
