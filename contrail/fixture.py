@@ -12,7 +12,7 @@ _TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey long, c_nationkey int",
-    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
     "orders": "o_orderkey long, o_custkey long",
     "lineitem": (
         "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import UTC, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from contrail.operators.audit import counted
 from contrail.operators.messages import to_messages
@@ -17,10 +17,16 @@ from contrail.sources.lake import read_raw
 from contrail.streaming.landing import land, read_topic
 
 
-def publish_job(spark: SparkSession, settings: Settings, fmt: str, options: dict) -> dict:
+def trip_file(spark: SparkSession, settings: Settings, names_from_header: bool) -> DataFrame:
+    if names_from_header:
+        return read_trips(spark, settings.trips_path, schema=None)
+    return read_trips(spark, settings.trips_path)
+
+
+def publish_job(trips: DataFrame, settings: Settings, fmt: str, options: dict) -> dict:
     """Trip file to topic, in one pass; returns the statistics of the run."""
     started = datetime.now(UTC).replace(tzinfo=None).isoformat()
-    trips, read = counted(read_trips(spark, settings.trips_path), "read")
+    trips, read = counted(trips, "read")
     messages, sent = counted(to_messages(trips), "sent")
     publish(messages, fmt, options or settings.topic_sink())
     total, published = read.get["rows"], sent.get["rows"]
@@ -41,13 +47,8 @@ def land_job(
 
 
 def process_job(
-    spark: SparkSession, settings: Settings, source: str, tables_only: bool, compact: bool
+    spark: SparkSession, trips: DataFrame, settings: Settings, tables_only: bool, compact: bool
 ) -> None:
-    trips = (
-        read_trips(spark, settings.trips_path)
-        if source == "file"
-        else read_raw(spark, settings.raw_root, quarter=settings.quarter)
-    )
     run(
         spark,
         trips,
@@ -63,32 +64,40 @@ def process_job(
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="contrail")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("publish", "land"):
-        job = jobs.add_parser(name)
+    publishing, landing, processing = (jobs.add_parser(n) for n in ("publish", "land", "process"))
+    for job in (publishing, landing):
         job.add_argument("--format", default="kafka")
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-        if name == "land":
-            job.add_argument("--drop-repeats-within", metavar="INTERVAL")
-    process = jobs.add_parser("process")
-    process.add_argument("--source", choices=("file", "lake"), default="file")
-    process.add_argument("--tables-only", action="store_true", help="write no processed lake")
-    process.add_argument("--compact", action="store_true", help="for input in no date order")
+    for job in (publishing, processing):
+        job.add_argument("--names-from-header", action="store_true")
+    landing.add_argument("--drop-repeats-within", metavar="INTERVAL")
+    processing.add_argument("--source", choices=("file", "lake"), default="file")
+    processing.add_argument("--tables-only", action="store_true", help="write no processed lake")
+    processing.add_argument("--compact", action="store_true", help="for input in no date order")
     return parser
 
 
+def _options(pairs: list[str]) -> dict[str, str]:
+    return dict(pair.split("=", 1) for pair in pairs)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     settings = Settings.from_env()
     spark = create_spark_session(f"trip-features-{args.job}")
     try:
-        if args.job == "process":
-            process_job(spark, settings, args.source, args.tables_only, args.compact)
-            return
-        options = dict(pair.split("=", 1) for pair in args.option)
         if args.job == "publish":
-            print(publish_job(spark, settings, args.format, options))
-        else:
+            trips = trip_file(spark, settings, args.names_from_header)
+            print(publish_job(trips, settings, args.format, _options(args.option)))
+        elif args.job == "land":
+            options = _options(args.option)
             land_job(spark, settings, args.format, options, args.drop_repeats_within)
+        elif args.source == "lake":
+            trips = read_raw(spark, settings.raw_root, quarter=settings.quarter)
+            process_job(spark, trips, settings, args.tables_only, args.compact)
+        else:
+            trips = trip_file(spark, settings, args.names_from_header)
+            process_job(spark, trips, settings, args.tables_only, args.compact)
     finally:
         spark.stop()
 

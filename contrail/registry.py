@@ -393,7 +393,7 @@ def feature_tables_together(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RENAMED = (
     "SELECT cast(s_suppkey AS string) AS iata_code, concat(s_name, '_OLD') AS airline "
-    "FROM supplier WHERE s_suppkey % 5 = 1"
+    "FROM supplier WHERE s_acctbal < 5000"
 )
 
 

@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="contrail-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only where none is set, as in tests."""
+    """The session's ``spark.checkpoint.dir``. Only a local session may go without: it gets a
+    temporary folder, which the executors of a cluster could not see."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="contrail-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = _local_folder()
     return configured.rstrip("/")
 
 

@@ -9,14 +9,15 @@ from contrail.schemas import RAW_TRIPS
 
 
 def read_trips(spark: SparkSession, path: str, schema: T.StructType | None = RAW_TRIPS) -> DataFrame:
-    """The trip file, every column as text.
+    """The trip file or files, every column as text.
 
-    With a schema the header of each file is checked against it, so a file with other columns is an
-    error and not shifted data. ``schema=None`` takes the names from the header of the first file.
+    The header of each file is checked against the schema, so a file with other columns is an error
+    and not shifted data. ``schema=None`` takes the names from the first header: for files that lack
+    columns or order them differently.
     """
     reader = spark.read.option("header", True)
     if schema is None:
-        return reader.option("inferSchema", False).csv(path)
+        schema = reader.option("inferSchema", False).csv(path).schema
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 

@@ -84,7 +84,7 @@ def test_publish_land_process(spark, tmp_path, monkeypatch, capsys):
         jobs.main(["land", "--format", "parquet", "--option", f"path={topic}"])
         jobs.main(["process"])
         from_file = counts()
-        jobs.main(["process", "--tables-only"])
+        jobs.main(["process", "--tables-only", "--names-from-header"])
         assert counts() == from_file
         jobs.main(["process", "--source", "lake", "--compact"])
         assert counts() == from_file == {"Q1": 3, "Q2": 3, "Q3": 3, "Q4": 3}
