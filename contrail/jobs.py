@@ -40,10 +40,16 @@ def publish_job(trips: DataFrame, settings: Settings, fmt: str, options: dict) -
 
 
 def land_job(
-    spark: SparkSession, settings: Settings, fmt: str, options: dict, within: str | None
+    spark: SparkSession,
+    settings: Settings,
+    fmt: str,
+    options: dict,
+    repeats_within: str | None,
+    files_per_month: int | None,
 ) -> None:
     messages = read_topic(spark, fmt, options or settings.topic_source())
-    land(messages, settings.raw_root, settings.landing_checkpoint, within).awaitTermination()
+    folders = settings.raw_root, settings.landing_checkpoint
+    land(messages, *folders, repeats_within, files_per_month).awaitTermination()
 
 
 def process_job(
@@ -71,6 +77,7 @@ def _parser() -> argparse.ArgumentParser:
     for job in (publishing, processing):
         job.add_argument("--names-from-header", action="store_true")
     landing.add_argument("--drop-repeats-within", metavar="INTERVAL")
+    landing.add_argument("--files-per-month", type=int, help="for a backlog of many months")
     processing.add_argument("--source", choices=("file", "lake"), default="file")
     processing.add_argument("--tables-only", action="store_true", help="write no processed lake")
     processing.add_argument("--compact", action="store_true", help="for input in no date order")
@@ -91,7 +98,8 @@ def main(argv: list[str] | None = None) -> None:
             print(publish_job(trips, settings, args.format, _options(args.option)))
         elif args.job == "land":
             options = _options(args.option)
-            land_job(spark, settings, args.format, options, args.drop_repeats_within)
+            limits = args.drop_repeats_within, args.files_per_month
+            land_job(spark, settings, args.format, options, *limits)
         elif args.source == "lake":
             trips = read_raw(spark, settings.raw_root, quarter=settings.quarter)
             process_job(spark, trips, settings, args.tables_only, args.compact)

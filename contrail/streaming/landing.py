@@ -44,12 +44,28 @@ def drop_repeats(rows: DataFrame, within: str, spread: int = 32) -> DataFrame:
     return fewer.dropDuplicatesWithinWatermark(trip).drop("arrived_at", "place")
 
 
+def gather_months(rows: DataFrame, files_per_month: int) -> DataFrame:
+    """Sends the rows of a month to at most as many tasks as it shall get files per batch.
+
+    For a backlog of many months, of which every task would otherwise write its own small files. The
+    place is random, so a month that holds most rows is spread over all of its tasks.
+    """
+    place = F.floor(F.rand(seed=29) * files_per_month)
+    return rows.withColumn("place", place).repartition("year", "month", "place").drop("place")
+
+
 def land(
-    messages: DataFrame, root: str, checkpoint: str, repeats_within: str | None = None
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    repeats_within: str | None = None,
+    files_per_month: int | None = None,
 ) -> StreamingQuery:
     rows = from_messages(messages)
     if repeats_within is not None:
         rows = drop_repeats(rows, repeats_within)
+    if files_per_month is not None:
+        rows = gather_months(rows, files_per_month)
     return (
         rows.writeStream.format("parquet")
         .partitionBy("year", "month")

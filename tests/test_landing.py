@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from contrail.operators.messages import to_messages
 from contrail.sinks.topic import publish
@@ -24,10 +25,10 @@ def send(spark, topic, *changes):
     publish(to_messages(raw_trips(spark, *changes), AT), "parquet", {"path": topic})
 
 
-def land_all(spark, folders, within=None, **options):
+def land_all(spark, folders, within=None, files_per_month=None, **options):
     topic, root, checkpoint = folders
     stream = read_topic(spark, "parquet", {"path": topic, **options})
-    land(stream, root, checkpoint, within).awaitTermination()
+    land(stream, root, checkpoint, within, files_per_month).awaitTermination()
     return read_raw(spark, root)
 
 
@@ -67,3 +68,19 @@ def test_rocksdb_state_gives_the_same(spark, folders, conf):
     conf(spark__sql__streaming__stateStore__providerClass=_STATE_STORE)
     send(spark, folders[0], {}, {}, {"day": "9"})
     assert land_all(spark, folders, "1 hour").count() == 2
+
+
+@pytest.mark.parametrize("within", [None, "1 hour"])
+def test_gathered_months_have_few_files(spark, folders, within):
+    """Most rows are of one month; each month gets at most the asked number of files."""
+    days = [{"month": "1", "day": str(d % 28), "flight_number": str(d)} for d in range(200)]
+    publish(
+        to_messages(raw_trips(spark, *days, {"month": "2"}, {"month": "x"}), AT).repartition(6),
+        "parquet", {"path": folders[0]},
+    )
+    landed = land_all(spark, folders, within, 2)
+    assert landed.count() == 202
+    files = landed.select("month", F.input_file_name().alias("f")).distinct()
+    per_month = {r.month: r["count"] for r in files.groupBy("month").count().collect()}
+    assert per_month.keys() == {1, 2, None}
+    assert per_month[1] <= 2 and per_month[2] == per_month[None] == 1
