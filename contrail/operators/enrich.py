@@ -45,6 +45,10 @@ class Lookups:
         found = profile_lookups({"carriers": carriers, "airports": airports})
         return cls(carriers, airports, found["carriers"], found["airports"])
 
+    @property
+    def rows(self) -> int:
+        return self.carriers_profile.rows + self.airports_profile.rows
+
     @property
     def unique(self) -> bool:
         return self.carriers_profile.unique and self.airports_profile.unique

@@ -89,7 +89,10 @@ def run(
     """
     log = RunLog(spark, store, uuid.uuid4().hex, quarter)
     stamp = processed_at or datetime.now(UTC)
-    lookups = Lookups.measure(carriers, airports)
+
+    with log.stage("lookups") as stage:
+        lookups = Lookups.measure(carriers, airports)
+        stage.records_in = stage.records_out = lookups.rows
 
     def cleaned(raw: DataFrame) -> DataFrame:
         return raw.transform(clean).transform(select_quarter, quarter)

@@ -53,7 +53,8 @@ def _named(groups: DataFrame, name: str, lookups: Lookups) -> DataFrame:
 
 
 def feature_table(trips: DataFrame, lookups: Lookups, name: str) -> DataFrame:
-    """One table as a lazy plan. ``trips`` are clean, with or without lookup columns."""
+    """One table as a lazy plan. ``trips`` are clean, with or without lookup columns; the hourly
+    table needs their departure hour."""
     if not lookups.unique:
         return aggregate_table(_enriched(trips, lookups), name)
     return _named(aggregate_table(trips, name, FEATURE_TABLES[name].codes), name, lookups)
@@ -87,7 +88,7 @@ class FeatureGroups:
 
 
 def feature_groups(trips: DataFrame, lookups: Lookups) -> FeatureGroups:
-    """All four tables from one scan of the trips."""
+    """All four tables from one scan of clean trips with their departure hour."""
     if lookups.unique:
         keysets = {name: table.codes for name, table in FEATURE_TABLES.items()}
         source = trips

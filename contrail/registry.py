@@ -426,7 +426,10 @@ _VALUE_SQL = (
 )
 
 
-@query(_with(_RAW) + f"SELECT airline AS airline, flight_number AS flight_number, departure_time AS departure_time FROM raw WHERE {_PUBLISHABLE}")
+@query(
+    _with(_RAW) + "SELECT airline AS airline, flight_number AS flight_number, "
+    f"departure_time AS departure_time FROM raw WHERE {_PUBLISHABLE}"
+)
 def publish_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rename_lower(spark, sf_dir).transform(messages.keep_publishable)
     return df.select("airline", "flight_number", "departure_time")
@@ -569,8 +572,10 @@ _GROUP_COUNTS = " + ".join(
 
 @query(
     _ALL_RAW + f", groups AS (SELECT {_GROUP_COUNTS} AS n) "
-    "SELECT 'process' AS stage, 'SUCCESS' AS status, (SELECT count(*) FROM raw) AS records_in, "
-    "(SELECT count(*) FROM enriched) AS records_out "
+    ", codes AS (SELECT (SELECT count(*) FROM carriers) + (SELECT count(*) FROM airports) AS n) "
+    "SELECT 'lookups' AS stage, 'SUCCESS' AS status, n AS records_in, n AS records_out FROM codes "
+    "UNION ALL SELECT 'process', 'SUCCESS', (SELECT count(*) FROM raw), "
+    "(SELECT count(*) FROM enriched) "
     "UNION ALL SELECT 'aggregate', 'SUCCESS', (SELECT count(*) FROM enriched), n FROM groups "
     "UNION ALL SELECT 'load', 'SUCCESS', n, n FROM groups"
 )

@@ -100,9 +100,10 @@ def stage_rows(spark, store):
 def test_run_writes_tables_and_log(spark, tmp_path, compact):
     store, result = rerun(spark, tmp_path, [*MONTHS, {"cancelled": "1"}], compact=compact)
     log = stage_rows(spark, store)
-    assert set(log) == {"process", "aggregate", "load"}
+    assert set(log) == {"lookups", "process", "aggregate", "load"}
     assert {r.status for r in log.values()} == {"SUCCESS"}
     assert {r.run_id for r in log.values()} == {result.run_id}
+    assert log["lookups"].records_in == 4
     assert (log["process"].records_in, log["process"].records_out) == (8, 7)
     assert (log["aggregate"].records_in, log["aggregate"].records_out) == (7, 16)
     hours = store.read(spark, "hourly_features")
@@ -118,7 +119,7 @@ def test_run_without_lake_gives_the_same_tables(spark, tmp_path, quarter):
         assert rows_of(without.tables[name].drop("processed_at")) == rows_of(
             table.drop("processed_at")
         )
-    assert set(stage_rows(spark, store)) == {"aggregate", "load"}
+    assert set(stage_rows(spark, store)) == {"lookups", "aggregate", "load"}
 
 
 def test_run_ignores_partitions_of_earlier_input(spark, tmp_path):
