@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from contrail.registry import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -27,7 +28,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry_has_rows(spark):
