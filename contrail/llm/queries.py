@@ -7,18 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import quality_classifier, toxicity
+from contrail.llm import html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
 from contrail.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select("doc_id", "mixing.*")
+
+
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "quality.*")
 
 
+def op5_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "visible")
+
+
+def op6_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.detect(docs, pii.train(docs)).select("doc_id", "pii.*")
+
+
+def op7_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0))
@@ -43,7 +62,11 @@ def op10_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_raking": op2_raking,
     "op4_repetition": op4_repetition,
+    "op5_visible_text": op5_visible_text,
+    "op6_weak_pii": op6_weak_pii,
+    "op7_length_buckets": op7_length_buckets,
     "op8_toxicity": op8_toxicity,
     "op10_graded_quality": op10_graded_quality,
 }
