@@ -236,13 +236,14 @@ def train(docs: DataFrame, text: str = "text", settings: Settings = Settings())
     def spans(batches):
         for batch in batches:
             found = [(t, c) for t in batch["text"] if t for c in candidates(t)]
-            yield pd.DataFrame(
-                {
-                    "kind": [KINDS.index(c[2]) for _, c in found],
-                    "ballot": [ballot(t, *c) for t, c in found],
-                    "features": [span_features(t, *c) for t, c in found],
-                }
-            )
+            if found:
+                yield pd.DataFrame(
+                    {
+                        "kind": [KINDS.index(c[2]) for _, c in found],
+                        "ballot": [ballot(t, *c) for t, c in found],
+                        "features": [span_features(t, *c) for t, c in found],
+                    }
+                )
 
     found = docs.select(F.col(text).alias("text")).mapInPandas(
         spans, "kind int, ballot int, features array<int>"
