@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 from contrail.llm import html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
+from contrail.llm.lm_scoring import lm_score
 from contrail.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score(docs, held_out(F.col("doc_id"), 7, 2))
+
+
 def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return mixing.mix(docs).select("doc_id", "mixing.*")
@@ -62,6 +68,7 @@ def op10_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_recurrent_lm": op1_recurrent_lm,
     "op2_raking": op2_raking,
     "op4_repetition": op4_repetition,
     "op5_visible_text": op5_visible_text,
