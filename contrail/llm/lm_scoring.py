@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -28,14 +29,14 @@ class Settings:
 
     explicit: int = 2048
     known: int = 65_536
-    classes: int = 40
+    classes: int = 32
     tails: int = 24
     hidden: int = 24
     warm_up_docs: int = 400
     rounds: int = 3
     stride: int = 5
     rate: float = 0.05
-    chunk_tokens: int = 4_000_000
+    chunk_tokens: int = 2_000_000
     seed: int = 5
 
 
@@ -73,7 +74,9 @@ def _least_count(counts: DataFrame, known: int) -> int:
 class Corpus:
     """What all tasks need to know of the training corpus; bounded by the settings."""
 
-    words: dict[bytes, tuple[int, int]]  # id and count of the known words and the end mark b""
+    words: dict[bytes, int]  # places of the known words and of the end mark b"" in the next two
+    id_of: np.ndarray
+    count_of: np.ndarray
     tokens: int
     types: int
     tail_mass: np.ndarray  # tokens and types + 1 of each tail class
@@ -81,6 +84,11 @@ class Corpus:
     starts: tuple[int, ...]
 
 
+def _plain(corpus: Corpus) -> tuple:
+    """For a broadcast: the fields alone, so that workers need not import the class."""
+    return tuple(getattr(corpus, f.name) for f in fields(corpus))
+
+
 def measure(train: DataFrame, counts: DataFrame, settings: Settings) -> Corpus:
     """``counts`` is the written result of :func:`word_counts`. Words of equal count are taken in
     the order of their bytes."""
@@ -105,22 +113,25 @@ def measure(train: DataFrame, counts: DataFrame, settings: Settings) -> Corpus:
         if w:
             mass[tail_class(w, tails)] -= n, 1
     by_id = np.append([n for _, n in top], mass[:, 0])
-    entries = {
-        w: (explicit[w] if w in explicit else n_words + tail_class(w, tails), n) for w, n in known
-    }
+    places = {w: k for k, (w, _) in enumerate(known)}
+    id_of = [explicit[w] if w in explicit else n_words + tail_class(w, tails) for w, _ in known]
+    count_of = np.array([n for _, n in known], np.float64)
     starts = recurrent.class_starts(by_id[:n_words] + 1, settings.classes)
-    return Corpus(entries, tokens, types, mass.sum(1) + 1, by_id, starts)
+    sums = mass.sum(1) + 1
+    return Corpus(places, np.array(id_of, np.int32), count_of, tokens, types, sums, by_id, starts)
 
 
 # Learning ---------------------------------------------------------------------------------------
 
 
-def ids_of(text: str | None, known: dict, tails: int, n_words: int) -> np.ndarray:
-    """Ids of the words of a text and of its end mark."""
-    out = [
-        known[w][0] if w in known else n_words + tail_class(w, tails) for w in words(text)
-    ]
-    return np.array([*out, known[b""][0]], np.int32)
+def lookup(found: list[bytes], corpus: Corpus, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words and of an end mark, and their places among the known words (-1: not there)."""
+    places = np.fromiter(map(corpus.words.get, found, repeat(-1)), np.int64, len(found))
+    places = np.append(places, corpus.words[b""])
+    ids, tails = corpus.id_of[places], len(corpus.tail_mass)
+    for k in np.flatnonzero(places < 0).tolist():
+        ids[k] = n_words + tail_class(found[k], tails)
+    return ids, places
 
 
 def _sum_chunks(parts: DataFrame) -> DataFrame:
@@ -143,15 +154,15 @@ def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurre
     tokens. Every training document takes part in one round."""
     shape = recurrent.Shape(corpus.starts, settings.tails, settings.hidden)
     flat = recurrent.first_weights(shape, corpus.ids, settings.seed)
-    texts, n_words, tails = corpus.ids[corpus.words[b""][0]], shape.words, settings.tails
+    texts, n_words = corpus.count_of[corpus.words[b""]], shape.words
     context = train.sparkSession.sparkContext
-    known = context.broadcast(corpus.words)
+    known = context.broadcast(_plain(corpus))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(2**31))
     share = min(1.0, settings.warm_up_docs / max(texts, 1))
 
     def begin(rows: pd.DataFrame) -> tuple:
         own, memory = flat.copy(), np.full_like(flat, 1e-6)
-        docs = [ids_of(t, known.value, tails, n_words) for t in rows["text"]]
+        docs = [lookup(words(t), Corpus(*known.value), n_words)[0] for t in rows["text"]]
         recurrent.learn(own, shape, docs, memory, settings.rate)
         return own, memory
 
@@ -162,11 +173,11 @@ def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurre
 
         def replica(batches, state=state):
             own, held = state.value[0].copy(), state.value[1].copy()
-            docs, size, total = [], 0, 0
+            docs, size, total, own_corpus = [], 0, 0, Corpus(*known.value)
             for batch in batches:
-                docs += [ids_of(t, known.value, tails, n_words) for t in batch["text"]]
+                docs += [lookup(words(t), own_corpus, n_words)[0] for t in batch["text"]]
                 size = sum(map(len, docs))
-                if size > settings.chunk_tokens // 8:
+                if size > settings.chunk_tokens // 4:
                     recurrent.learn(own, shape, docs, held, settings.rate, settings.stride)
                     docs, total = [], total + size
             if docs:
@@ -198,29 +209,19 @@ def score_texts(docs: DataFrame, corpus: Corpus, shape: recurrent.Shape, flat: n
     """What a task can say about its documents alone: all but the counts of the words that are not
     broadcast, which ``rest`` lists."""
     context = docs.sparkSession.sparkContext
-    known, weights = context.broadcast(corpus.words), context.broadcast(flat)
-    floor = float(np.log10(corpus.tokens + corpus.types + 1))
-    in_tail, n_words, tails = np.log10(corpus.tail_mass), shape.words, settings.tails
+    known, weights = context.broadcast(_plain(corpus)), context.broadcast(flat)
+    floor, n_words = float(np.log10(corpus.tokens + corpus.types + 1)), shape.words
     names = [c.split()[0] for c in _SCORED.split(", ")]
 
-    def one(doc_id, out, text):
-        entries, rest, ids, counts = known.value, Counter(), [], []
-        for w in words(text):
-            found = entries.get(w)
-            if found is None:
-                rest[w] += 1
-                ids.append(n_words + tail_class(w, tails))
-                counts.append(0)
-            else:
-                ids.append(found[0])
-                counts.append(found[1])
-        ids.append(entries[b""][0])
-        counts.append(entries[b""][1])
-        ids, counts = np.array(ids, np.int32), np.array(counts, np.float64)
-        logs, in_class = np.log10(counts + 1), ids >= n_words
+    def one(own, logs_of, in_tail, doc_id, out, text):
+        found = words(text)
+        ids, places = lookup(found, own, n_words)
+        logs, in_class = logs_of[places], ids >= n_words
         inside = (logs[in_class] - in_tail[ids[in_class] - n_words]).sum()
+        rest = Counter(found[k] for k in np.flatnonzero(places < 0).tolist())
+        n_known = int((own.count_of[places[places >= 0]] > 0).sum())
         return (
-            doc_id, out, len(ids), int((counts > 0).sum()), logs.sum() - len(ids) * floor, inside,
+            doc_id, out, len(ids), n_known, logs.sum() - len(ids) * floor, inside,
             [{"word": w.decode("utf-8", "replace"), "times": n} for w, n in rest.items()], ids,
         )
 
@@ -231,10 +232,13 @@ def score_texts(docs: DataFrame, corpus: Corpus, shape: recurrent.Shape, flat: n
         return frame
 
     def run(batches):
-        rows, size = [], 0
+        rows, size, own = [], 0, Corpus(*known.value)
+        # A place of -1 is the last one: an unseen word, until its count is joined.
+        logs_of, in_tail = np.append(np.log10(own.count_of + 1), 0.0), np.log10(own.tail_mass)
         for batch in batches:
             ids = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
-            rows += map(one, ids, batch["held_out"], batch["text"])
+            arguments = repeat(own), repeat(logs_of), repeat(in_tail), ids
+            rows += map(one, *arguments, batch["held_out"], batch["text"])
             size = sum(r[2] for r in rows)
             if size >= settings.chunk_tokens:
                 yield scored(rows)

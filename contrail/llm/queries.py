@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contrail.llm import html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
 from contrail.llm.lm_scoring import lm_score
+from contrail.llm.near_dedup import near_duplicates
 from contrail.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,10 @@ def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "mixing.*")
 
 
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "quality.*")
@@ -70,6 +75,7 @@ def op10_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_recurrent_lm": op1_recurrent_lm,
     "op2_raking": op2_raking,
+    "op3_lsh_forest": op3_lsh_forest,
     "op4_repetition": op4_repetition,
     "op5_visible_text": op5_visible_text,
     "op6_weak_pii": op6_weak_pii,

@@ -88,6 +88,16 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _log_of(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """One entry per row of the logarithm of its softmax."""
+    own = x[np.arange(len(x)), chosen]
+    top = x.max()
+    if top - own.min() > 60:  # rows far apart: each by its own greatest entry
+        return _log_softmax(x)[np.arange(len(x)), chosen]
+    np.exp(np.subtract(x, top, out=x), out=x)
+    return own - top - np.log(x @ np.ones(x.shape[1], x.dtype))
+
+
 def _by_class(classes: np.ndarray, n: int):
     """Positions of the rows of each class that occurs."""
     order = np.argsort(classes, kind="stable")
@@ -95,7 +105,7 @@ def _by_class(classes: np.ndarray, n: int):
     return [(c, order[a:b]) for c, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
 
 
-def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 128, window: int = 32) -> np.ndarray:
+def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 192, window: int = 32) -> np.ndarray:
     """Natural log probability of every document's ids, from its first to its last.
 
     Documents are dealt to lanes, longest first; a lane runs through its documents window by window
@@ -149,12 +159,11 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 1
         used = live >= 0
         hs, ids, live = states.reshape(-1, h_size)[used], targets[t0:t1, :n_live].ravel()[used], live[used]
         classes = class_of[ids]
-        logs = _log_softmax(hs @ wc + bc)[np.arange(len(ids)), classes].astype(np.float64)
+        logs = _log_of(hs @ wc + bc, classes).astype(np.float64)
         for c, rows in _by_class(classes, len(starts) - 1):
             a, z = starts[c], starts[c + 1]
             if z - a > 1:
-                inside = _log_softmax(hs[rows] @ wo[a:z].T + bo[a:z])
-                logs[rows] += inside[np.arange(len(rows)), ids[rows] - a]
+                logs[rows] += _log_of(hs[rows] @ wo[a:z].T + bo[a:z], ids[rows] - a)
         totals += np.bincount(live, logs, len(docs))
     return totals
 
