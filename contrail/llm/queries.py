@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import html_text, mixing, packing, pii, quality_classifier, toxicity
+from contrail.llm import embedding_dedup, html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
 from contrail.llm.lm_scoring import lm_score
 from contrail.llm.near_dedup import near_duplicates
@@ -57,6 +57,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "toxicity.*")
 
 
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grade 0: poor; 1: good text of toxic content; 2: good. Kept from grade 1 on."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_weak_pii": op6_weak_pii,
     "op7_length_buckets": op7_length_buckets,
     "op8_toxicity": op8_toxicity,
+    "op9_lattice": op9_lattice,
     "op10_graded_quality": op10_graded_quality,
 }
 ORACLES: dict[str, str] = {}

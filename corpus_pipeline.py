@@ -1,11 +1,18 @@
-"""Documents to training batches: quality rules, near-dedup, personal data, mixture, packing."""
+"""Documents to training batches: quality rules, near-dedup, personal data, mixture, packing.
+
+Every stage takes all rows that the one before it kept, and returns the columns of ``documents``; the
+last returns the batches. A null or empty text fails the quality rules. An extra column of any name
+goes through unchanged.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.llm import mixing, packing, pii
 from contrail.llm.common import fresh, table
+from contrail.llm.near_dedup import near_duplicates
 from contrail.llm.quality_rules import quality_rules
 from contrail.scratch import materialise
 
@@ -16,8 +23,45 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules(docs).filter(F.col(f"{verdict}.kept")).select(docs.columns)
 
 
-STAGES = [("quality rules", quality)]
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies, the one of the least id. Rows that repeat
+    the id and the text of a kept document go; rows without an id stay."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    found = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    found = found.dropDuplicates(["doc_id", "text"])
+    return found.union(docs.filter(F.col("doc_id").isNull()))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind; ``n_chars`` follows where a text changed."""
+    model = pii.train(docs)
+    before = fresh(docs, "before")
+    clean = pii.redact(docs.withColumn(before, F.col("text")), model)
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    same = F.col("text").eqNullSafe(F.col(before))
+    changed = clean.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(length))
+    return changed.select(docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Samples documents by probabilities raked to the target shares."""
+    chosen = fresh(docs, "mixing")
+    return mixing.mix(docs).filter(F.col(f"{chosen}.sampled")).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near-dedup", one_of_each),
+    ("personal data", private),
+    ("mixture", mixture),
+    ("packing", packed),
+]
 
+# MinHash links and learned spans have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
