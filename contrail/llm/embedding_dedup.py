@@ -27,6 +27,7 @@ class Settings:
     scale: float = 0.42
     probes: int = 3
     block: int = 512
+    batch: int = 8192
     seed: int = 8
 
 
@@ -80,7 +81,7 @@ def cells(unit: np.ndarray, settings: Settings) -> np.ndarray:
             home = nearest_e8(y)
             # |y - (home + v)|^2 falls with y.v - home.v - |v|^2 / 2; all |v|^2 are equal.
             gain = 2 * y @ around.T - home @ around.T
-            best = np.argsort(-gain, 1, kind="stable")[:, : settings.probes]
+            best = np.argpartition(-gain, settings.probes, 1)[:, : settings.probes]
             homes.append(_coded(home, t * 64 + p))
             others.append([_coded(home + around[best[:, k]], t * 64 + p) for k in range(settings.probes)])
             far.append(-gain[at[:, None], best])
@@ -118,37 +119,63 @@ def first_meeting(mine: np.ndarray, theirs: np.ndarray) -> tuple[np.ndarray, np.
     return table, home
 
 
-def _links(group: pd.DataFrame, settings: Settings) -> pd.DataFrame | None:
-    """Links within one block of a cell: per node the weight of those linked, and a root."""
-    x = units(group["embedding"].to_list())
-    node, weight, home, block = (group[c].to_numpy() for c in ("node", "weight", "home", "block"))
-    near = x @ x.T >= settings.cosine
-    near &= home[:, None] | home[None, :]
-    if group["left"].iat[0] != group["right"].iat[0]:
-        near &= block[:, None] != block[None, :]
-    i, j = np.nonzero(np.triu(near, 1))
-    if not len(i):
+def _links(rows: pd.DataFrame, edges: list[int], settings: Settings) -> pd.DataFrame | None:
+    """Links within each run of rows between two ``edges``, a block of a cell: per node the weight
+    of those linked, and a root of what is linked here."""
+    node, weight, home, block = (rows[c].to_numpy() for c in ("node", "weight", "home", "block"))
+    across = rows["left"].to_numpy() != rows["right"].to_numpy()
+    found = []
+    for _, own in rows.groupby("dim", sort=False):
+        x = np.zeros((len(rows), own["dim"].iat[0]))
+        x[own.index] = units(own["embedding"].to_list())
+        for a, z in zip(edges, edges[1:]):
+            if z - a > 1 and rows["dim"].iat[a] == x.shape[1]:
+                near = x[a:z] @ x[a:z].T >= settings.cosine
+                i, j = np.nonzero(np.triu(near, 1))
+                found.append((i + a, j + a))
+    if not found:
         return None
+    i, j = (np.concatenate(f) for f in zip(*found))
+    good = (home[i] | home[j]) & ~(across[i] & (block[i] == block[j]))
     flip = node[i] > node[j]
-    i, j = np.where(flip, j, i), np.where(flip, i, j)
-    used, places = np.unique(np.concatenate([i, j]), return_inverse=True)
-    own = cells(x[used], settings)
-    table, meeting = first_meeting(own[places[: len(i)]], own[places[len(i) :]])
-    here = (table == group["table"].iat[0]) & (meeting.view(np.int64) == group["cell"].iat[0])
+    i, j = np.where(flip, j, i)[good], np.where(flip, i, j)[good]
+    if not len(i):
+        return None
+    # Every pair counts where it meets first; the cells of those that are near are worked out again.
+    used, first = np.unique(node, return_index=True)
+    wanted = np.unique(np.concatenate([first[np.searchsorted(used, node[k])] for k in (i, j)]))
+    codes = np.zeros((len(rows), settings.tables, 1 + settings.probes), np.uint64)
+    for _, own in rows.iloc[wanted].groupby("dim", sort=False):
+        codes[own.index] = cells(units(own["embedding"].to_list()), settings)
+    code_of = first[np.searchsorted(used, node)]
+    here = []
+    for a in range(0, len(i), 65536):
+        p, q = i[a : a + 65536], j[a : a + 65536]
+        table, meeting = first_meeting(codes[code_of[p]], codes[code_of[q]])
+        here.append((table == rows["table"].to_numpy()[p]) & (meeting.view(np.int64) == rows["cell"].to_numpy()[p]))
+    here = np.concatenate(here)
     i, j = i[here], j[here]
     if not len(i):
         return None
-    links = np.bincount(i, weight[j], len(x)) + np.bincount(j, weight[i], len(x))
-    root = node.copy()
+    u, v = np.searchsorted(used, node[i]), np.searchsorted(used, node[j])
+    links = np.bincount(u, weight[j], len(used)) + np.bincount(v, weight[i], len(used))
+    root = used.copy()
     while True:
-        least = np.minimum(root[i], root[j])
-        before = root.copy()
-        np.minimum.at(root, i, least)
-        np.minimum.at(root, j, least)
+        least, before = np.minimum(root[u], root[v]), root.copy()
+        np.minimum.at(root, u, least)
+        np.minimum.at(root, v, least)
         if (root == before).all():
             break
     hit = links > 0
-    return pd.DataFrame({"node": node[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+    return pd.DataFrame({"node": used[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+
+
+def _edges(rows: pd.DataFrame, columns: list[str]) -> list[int]:
+    change = np.zeros(max(len(rows) - 1, 0), bool)
+    for c in columns:
+        values = rows[c].to_numpy()
+        change |= values[1:] != values[:-1]
+    return [0, *(np.flatnonzero(change) + 1).tolist(), len(rows)]
 
 
 def link_classes(classes: DataFrame, settings: Settings) -> DataFrame:
@@ -204,14 +231,15 @@ def link_classes(classes: DataFrame, settings: Settings) -> DataFrame:
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            marks = held[whole].to_numpy(dtype=object)
-            change = np.flatnonzero((marks[1:] != marks[:-1]).any(1)) + 1
-            edges = [0, *change.tolist()]
-            for a, z in zip(edges, edges[1:]):
-                if z - a > 1 and (out := _links(held.iloc[a:z], settings)) is not None:
+            if len(held) < settings.batch:
+                continue
+            edges = _edges(held, whole)
+            if len(edges) > 2:  # the last block may go on in the next batch
+                done = held.iloc[: edges[-2]]
+                if (out := _links(done, edges[:-1], settings)) is not None:
                     yield out
-            held = held.iloc[edges[-1] :].reset_index(drop=True)
-        if held is not None and len(held) > 1 and (out := _links(held, settings)) is not None:
+                held = held.iloc[edges[-2] :].reset_index(drop=True)
+        if held is not None and (out := _links(held, _edges(held, whole), settings)) is not None:
             yield out
 
     return rows.mapInPandas(run, "node long, links long, root long")
