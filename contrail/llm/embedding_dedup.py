@@ -279,7 +279,9 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
     n_links = F.coalesce("links", F.lit(0)) + F.col("weight") - 1
     nodes = nodes.join(least, "component").select("node", "component_id", n_links.alias("n_links"))
     linked = able.select("vec_id", "node").join(nodes, "node").select("vec_id", "n_links", "component_id")
-    alone = rows.filter(~usable).select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
+    alone = rows.filter(~usable).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), (F.col("vec_id") + 0).alias("component_id")
+    )
     out = linked.union(alone)
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return out.withColumn("kept", kept)

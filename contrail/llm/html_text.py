@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -54,14 +55,21 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.depth = Counter()  # open elements by tag
+
+    def _close_from(self, k: int) -> None:
+        self.depth.subtract(node.tag for node in self.open[k:])
+        del self.open[k:]
 
     def _end_up_to(self, ended: set[str], until: set[str]) -> None:
+        if not any(self.depth[tag] for tag in ended):
+            return
         for k in range(len(self.open) - 1, 0, -1):
             tag = self.open[k].tag
             if tag in until:
                 return
             if tag in ended:
-                del self.open[k:]
+                self._close_from(k)
                 self._end_up_to(ended, until)
                 return
 
@@ -77,6 +85,7 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.depth[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -84,10 +93,12 @@ class TreeBuilder(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_starttag("br", [])
+        if not self.depth[tag]:
+            return
         fence = _TABLE if tag not in ("table", "html", "body") else set()
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self._close_from(k)
                 return
             if self.open[k].tag in fence:
                 return
@@ -225,7 +236,7 @@ def render(root: Node) -> str:
         elif tag == "table" and tables:
             for line in tables.pop().lines():
                 flow.line = line
-                flow.flush()
+                flow.flush(keep_empty=True)
             flow.block(True)
         elif tag in ("ul", "ol", "menu") and lists:
             lists.pop()

@@ -86,7 +86,7 @@ def pack(
     ends = best_boundaries(lengths, counts, buckets)
     inside = [
         int(counts[(lengths > low) & (lengths <= high)].sum())
-        for low, high in zip([0, *ends[:-1]], ends, strict=True)
+        for low, high in zip([0, *ends], ends)
     ]
     bucket = sum((F.col("n_tokens") > e).cast("int") for e in ends[:-1]) + F.lit(0)
 
