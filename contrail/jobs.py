@@ -23,12 +23,17 @@ def trip_file(spark: SparkSession, settings: Settings, names_from_header: bool)
     return read_trips(spark, settings.trips_path)
 
 
+def with_broker(fmt: str, broker: dict, options: dict) -> dict:
+    """Options given by hand come on top of the broker's; other formats have only theirs."""
+    return {**broker, **options} if fmt == "kafka" else options
+
+
 def publish_job(trips: DataFrame, settings: Settings, fmt: str, options: dict) -> dict:
     """Trip file to topic, in one pass; returns the statistics of the run."""
     started = datetime.now(UTC).replace(tzinfo=None).isoformat()
     trips, read = counted(trips, "read")
     messages, sent = counted(to_messages(trips), "sent")
-    publish(messages, fmt, options or settings.topic_sink())
+    publish(messages, fmt, with_broker(fmt, settings.topic_sink(), options))
     total, published = read.get["rows"], sent.get["rows"]
     return {
         "total_rows": total,
@@ -46,8 +51,11 @@ def land_job(
     options: dict,
     repeats_within: str | None,
     files_per_month: int | None,
+    rows_per_batch: int | None = None,
+    min_tasks: int | None = None,
 ) -> None:
-    messages = read_topic(spark, fmt, options or settings.topic_source())
+    source = settings.topic_source(rows_per_batch, min_tasks)
+    messages = read_topic(spark, fmt, with_broker(fmt, source, options))
     folders = settings.raw_root, settings.landing_checkpoint
     land(messages, *folders, repeats_within, files_per_month).awaitTermination()
 
@@ -80,7 +88,11 @@ def _parser() -> argparse.ArgumentParser:
     landing.add_argument("--files-per-month", type=int, help="for a backlog of many months")
     processing.add_argument("--source", choices=("file", "lake"), default="file")
     processing.add_argument("--tables-only", action="store_true", help="write no processed lake")
-    processing.add_argument("--compact", action="store_true", help="for input in no date order")
+    landing.add_argument("--rows-per-batch", type=int, help="paces the reading of the broker")
+    landing.add_argument("--min-tasks", type=int, help="splits a topic with few partitions")
+    processing.add_argument(
+        "--in-date-order", action="store_true", help="write the lake without a shuffle"
+    )
     return parser
 
 
@@ -98,14 +110,14 @@ def main(argv: list[str] | None = None) -> None:
             print(publish_job(trips, settings, args.format, _options(args.option)))
         elif args.job == "land":
             options = _options(args.option)
-            limits = args.drop_repeats_within, args.files_per_month
+            limits = args.drop_repeats_within, args.files_per_month, args.rows_per_batch, args.min_tasks
             land_job(spark, settings, args.format, options, *limits)
         elif args.source == "lake":
             trips = read_raw(spark, settings.raw_root, quarter=settings.quarter)
-            process_job(spark, trips, settings, args.tables_only, args.compact)
+            process_job(spark, trips, settings, args.tables_only, not args.in_date_order)
         else:
             trips = trip_file(spark, settings, args.names_from_header)
-            process_job(spark, trips, settings, args.tables_only, args.compact)
+            process_job(spark, trips, settings, args.tables_only, not args.in_date_order)
     finally:
         spark.stop()
 

@@ -20,24 +20,24 @@ def carrier_names(carriers: DataFrame) -> DataFrame:
     )
 
 
+# Output names of an airport, after its role; only origins have a place.
+_AIRPORT_NAMES = {"iata_code": "airport", "airport": "airport_name", "city": "city", "state": "state"}
+_PLACE_NAMES = {"latitude": "lat", "longitude": "lon"}
+
+
+def airports_as(airports: DataFrame, role: str, placed: bool) -> DataFrame:
+    """The airport lookup as ``origin`` or ``destination``, with its place or without."""
+    texts = [F.col(c).alias(f"{role}_{name}") for c, name in _AIRPORT_NAMES.items()]
+    numbers = [as_float(c).alias(f"{role}_{name}") for c, name in _PLACE_NAMES.items()]
+    return airports.select(*texts, *(numbers if placed else []))
+
+
 def origin_airports(airports: DataFrame) -> DataFrame:
-    return airports.select(
-        F.col("iata_code").alias("origin_airport"),
-        F.col("airport").alias("origin_airport_name"),
-        F.col("city").alias("origin_city"),
-        F.col("state").alias("origin_state"),
-        as_float("latitude").alias("origin_lat"),
-        as_float("longitude").alias("origin_lon"),
-    )
+    return airports_as(airports, "origin", placed=True)
 
 
 def destination_airports(airports: DataFrame) -> DataFrame:
-    return airports.select(
-        F.col("iata_code").alias("destination_airport"),
-        F.col("airport").alias("destination_airport_name"),
-        F.col("city").alias("destination_city"),
-        F.col("state").alias("destination_state"),
-    )
+    return airports_as(airports, "destination", placed=False)
 
 
 @dataclass(frozen=True)

@@ -65,14 +65,17 @@ def to_messages(trips: DataFrame, ingested_at: str | None = None) -> DataFrame:
 
 
 def from_messages(messages: DataFrame) -> DataFrame:
-    """Raw lake rows: blanks become null again, as in the file, and year and month become ints."""
+    """Raw lake rows: a message that cannot be read keeps its text. Blanks become null again, as in the file, and year and month become ints."""
+    kept = {"columnNameOfCorruptRecord": "corrupt_value"}
     parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), MESSAGE_VALUE).alias("value"),
+        F.from_json(F.col("value").cast("string"), MESSAGE_VALUE, kept).alias("value"),
         F.col("key").cast("string").alias("message_key"),
     ).select("value.*", "message_key")
-    texts = [c for c in parsed.columns if c not in ("year", "month", "message_key")]
+    typed = ("year", "month", "message_key", "corrupt_value")
+    texts = [c for c in parsed.columns if c not in typed]
     return parsed.select(
         *[F.nullif(F.col(c), F.lit("")).alias(c) for c in texts],
+        "corrupt_value",
         "message_key",
         as_int("year").alias("year"),
         as_int("month").alias("month"),

@@ -10,13 +10,13 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from contrail.operators.audit import audit_record, counted
+from contrail.operators.audit import audit_record
 from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import add_departure_hour, engineer_features
 from contrail.plans.feature_tables import feature_groups
-from contrail.sinks.lake import write_processed
-from contrail.sinks.store import FeatureStore, load_features
+from contrail.sinks.lake import covered, write_processed
+from contrail.sinks.store import FeatureStore, load_table, lookup_features
 
 RUN_LOG = "pipeline_runs"
 
@@ -44,7 +44,10 @@ class RunLog:
         try:
             yield stage
         except Exception as error:
-            self._append(name, "FAILED", stage, started, str(error))
+            try:
+                self._append(name, "FAILED", stage, started, str(error))
+            except Exception as second:  # the error of the stage is the one to raise
+                error.add_note(f"the failure could not be logged: {second}")
             raise
         self._append(name, "SUCCESS", stage, started, None)
 
@@ -77,11 +80,13 @@ def run(
     processed_root: str | None = None,
     quarter: str | None = None,
     processed_at: datetime | None = None,
-    compact: bool = False,
+    compact: bool = True,
 ) -> RunResult:
-    """Jobs: one over the lookups, one that reads the raw trips and writes the processed lake, one
-    that groups the trips, and the small writes of tables and log. ``compact`` is for raw input
-    whose rows are in no date order (see :func:`write_processed`).
+    """Jobs: one over the lookups, one over the dates of the raw trips, one that reads them and
+    writes the processed lake, one that groups the trips, and the small writes of tables and log.
+    ``compact`` may be off for raw input in date order (see :func:`write_processed`).
+
+    A run replaces what its input covers: a quarter whose trips have all gone is emptied.
 
     The groups are read from the partitions just written, which are columnar, typed and durable:
     the raw text is parsed once, nothing is cached, and a lost executor costs no second parse.
@@ -101,10 +106,10 @@ def run(
         trips = cleaned(raw_trips).transform(add_departure_hour)
     else:
         with log.stage("process") as stage:
-            raw, raw_rows = counted(raw_trips, "raw")
-            featured = cleaned(raw).transform(enrich, lookups).transform(engineer_features)
-            written = write_processed(featured, processed_root, compact)
-            stage.records_in, stage.records_out = rows_seen(raw_rows), written.rows
+            stage.records_in, touched = covered(raw_trips, quarter)
+            featured = cleaned(raw_trips).transform(enrich, lookups).transform(engineer_features)
+            written = write_processed(featured, processed_root, compact, touched)
+            stage.records_out = written.rows
         processed = spark.read.schema(featured.schema).parquet(processed_root)
         trips = processed.filter(written.predicate())
 
@@ -114,8 +119,14 @@ def run(
         stage.records_in, stage.records_out = trip_count, row_count
 
     with log.stage("load") as stage:
-        tables = groups.tables(stamp)
-        load_features(tables, store, quarter)
-        stage.records_in = stage.records_out = row_count
+        tables, sizes = groups.tables(stamp), groups.sizes()
+        stage.records_in, stored = row_count, 0
+        for name, table in tables.items():
+            with log.stage(f"load_{name}") as own:
+                own.records_in = sizes.get(name, 0)
+                load_table(name, table, store, quarter)
+                own.records_out = lookup_features(spark, store, name, quarter).count()
+                stored += own.records_out
+        stage.records_out = stored
 
     return RunResult(log.run_id, tables)

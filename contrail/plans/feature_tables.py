@@ -77,6 +77,10 @@ class FeatureGroups:
             table = _named(table, name, self.lookups)
         return table if processed_at is None else stamped(table, processed_at)
 
+    def sizes(self) -> dict[str, int]:
+        """Rows of each table that has any."""
+        return {r["feature_table"]: r["count"] for r in self.rows.groupBy("feature_table").count().collect()}
+
     def totals(self) -> tuple[int, int]:
         """Trips that were grouped, and rows of all tables."""
         in_one_table = F.col("feature_table") == next(iter(self.keysets))

@@ -130,10 +130,46 @@ _MEASURE_SQL = {
 }
 
 
+# Written out, not taken from the code under test: keys, and each column with what it holds.
+_TABLE_SQL = {
+    "airline_features": (
+        "airline, airline_name, quarter",
+        "count(*) AS total_flights, cast(sum(is_delayed) AS bigint) AS delayed_flights, "
+        f"{_round('avg(arrival_delay)')} AS avg_arrival_delay_min, "
+        f"{_round('avg(departure_delay)')} AS avg_departure_delay_min, "
+        f"{_round('stddev_samp(arrival_delay)')} AS std_arrival_delay, "
+        f"{_round('cast(sum(is_delayed) AS double) / count(*) * 100')} AS delay_rate_pct, "
+        f"{_round('avg(weather_delay)')} AS avg_weather_delay_min, "
+        f"{_round('avg(airline_delay)')} AS avg_carrier_delay_min, "
+        f"{_round('avg(air_system_delay)')} AS avg_nas_delay_min",
+    ),
+    "route_features": (
+        "route, origin_airport, destination_airport, origin_city, destination_city, quarter",
+        "count(*) AS total_flights, cast(sum(is_delayed) AS bigint) AS delayed_flights, "
+        f"{_round('avg(arrival_delay)')} AS avg_arrival_delay_min, "
+        f"{_round('avg(departure_delay)')} AS avg_departure_delay_min, "
+        f"{_round('cast(sum(is_delayed) AS double) / count(*) * 100')} AS delay_rate_pct, "
+        f"{_round('avg(distance)')} AS avg_distance_miles, "
+        f"{_round('avg(air_time)')} AS avg_air_time_min",
+    ),
+    "airport_features": (
+        "origin_airport, origin_airport_name, origin_city, origin_state, quarter",
+        "count(*) AS total_departures, cast(sum(is_delayed) AS bigint) AS delayed_departures, "
+        f"{_round('avg(departure_delay)')} AS avg_departure_delay_min, "
+        f"{_round('cast(sum(is_delayed) AS double) / count(*) * 100')} AS departure_delay_rate_pct, "
+        f"{_round('avg(taxi_out)')} AS avg_taxi_out_min",
+    ),
+    "hourly_features": (
+        "scheduled_departure_hour, day_of_week, quarter",
+        "count(*) AS total_flights, cast(sum(is_delayed) AS bigint) AS delayed_flights, "
+        f"{_round('avg(arrival_delay)')} AS avg_arrival_delay_min, "
+        f"{_round('cast(sum(is_delayed) AS double) / count(*) * 100')} AS delay_rate_pct",
+    ),
+}
+
+
 def _table_sql(name: str, source: str = "enriched") -> str:
-    table = FEATURE_TABLES[name]
-    keys = ", ".join(table.keys)
-    shown = ", ".join(f"{_MEASURE_SQL[m]} AS {c}" for c, m in table.measures.items())
+    keys, shown = _TABLE_SQL[name]
     return f"SELECT {keys}, {shown} FROM {source} GROUP BY {keys}"
 
 
@@ -468,7 +504,8 @@ _LANDED = (
         f"try_cast(try_cast({c} AS double) AS int) AS {c}" if c in ("year", "month") else f"{c} AS {c}"
         for c in TRIP_COLUMNS
     )
-    + f", '{INGESTED_AT}' AS ingested_at, {_KEY_SQL} AS message_key FROM raw WHERE {_PUBLISHABLE})"
+    + f", '{INGESTED_AT}' AS ingested_at, cast(NULL AS varchar) AS corrupt_value, "
+    f"{_KEY_SQL} AS message_key FROM raw WHERE {_PUBLISHABLE})"
 )
 
 
@@ -565,6 +602,45 @@ def run_store_airport_tables_only(spark: SparkSession, sf_dir: str) -> DataFrame
     return store.read(spark, "airport_features").drop("processed_at")
 
 
+def _without_first_quarter(spark: SparkSession, sf_dir: str) -> tuple[FolderStore, str]:
+    """A whole run, then a run for the first quarter whose trips are all cancelled by now."""
+    store, root = FolderStore(new_path(spark, "store")), new_path(spark, "processed")
+    trips = csv_scan_all_string(spark, sf_dir)
+    lookups = csv_lookup_carriers(spark, sf_dir), csv_lookup_airports(spark, sf_dir)
+    run(spark, trips, *lookups, store, root)
+    run(spark, trips.withColumn("CANCELLED", F.lit("1")), *lookups, store, root, "Q1")
+    return store, root
+
+
+@query(_ALL_RAW + _table_sql("airline_features") + " HAVING quarter <> 'Q1'")
+def run_store_quarter_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter that has lost all its trips leaves the store."""
+    store, _ = _without_first_quarter(spark, sf_dir)
+    return store.read(spark, "airline_features").drop("processed_at")
+
+
+@query(_ALL_RAW + f"SELECT {ID}, quarter FROM enriched WHERE quarter <> 'Q1'")
+def lake_quarter_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter that has lost all its trips leaves the processed lake."""
+    _, root = _without_first_quarter(spark, sf_dir)
+    return read_processed(spark, root).select(*TRIP_ID, "quarter")
+
+
+@query(
+    _with(_RAW, _LANDED) + "SELECT message_key, airline, corrupt_value FROM landed "
+    "UNION ALL SELECT message_key, NULL, '{' || message_key FROM landed"
+)
+def stream_land_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is followed by one that is no JSON, whose text stays in the lake."""
+    topic = new_path(spark, "topic")
+    sent = _messages(spark, sf_dir)
+    broken = sent.select("key", F.concat(F.lit("{"), "key").alias("value"))
+    for part in (sent, broken):
+        publish(part, "parquet", {"path": topic})
+    landed = read_raw(spark, _land_twice(spark, topic))
+    return landed.select("message_key", "airline", "corrupt_value")
+
+
 _GROUP_COUNTS = " + ".join(
     f"(SELECT count(*) FROM ({_table_sql(name)}))" for name in FEATURE_TABLES
 )
@@ -577,7 +653,11 @@ _GROUP_COUNTS = " + ".join(
     "UNION ALL SELECT 'process', 'SUCCESS', (SELECT count(*) FROM raw), "
     "(SELECT count(*) FROM enriched) "
     "UNION ALL SELECT 'aggregate', 'SUCCESS', (SELECT count(*) FROM enriched), n FROM groups "
-    "UNION ALL SELECT 'load', 'SUCCESS', n, n FROM groups"
+    "UNION ALL SELECT 'load', 'SUCCESS', n, n FROM groups "
+    + " ".join(
+        f"UNION ALL SELECT 'load_{name}', 'SUCCESS', count(*), count(*) FROM ({_table_sql(name)})"
+        for name in FEATURE_TABLES
+    )
 )
 def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _run_all(spark, sf_dir).read(spark, RUN_LOG)

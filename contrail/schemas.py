@@ -38,7 +38,8 @@ def _strings(names) -> T.StructType:
 
 RAW_TRIPS = _strings(n.upper() for n in TRIP_COLUMNS)
 
-MESSAGE_VALUE = _strings((*TRIP_COLUMNS, "ingested_at"))
+# A message that is no JSON keeps its text in the last column.
+MESSAGE_VALUE = _strings((*TRIP_COLUMNS, "ingested_at", "corrupt_value"))
 MESSAGE_TOPIC = _strings(("key", "value"))
 
 # The raw lake holds the messages as text; only its two partition columns are typed.

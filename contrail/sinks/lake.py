@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from contrail.functions.casts import int_column
+from contrail.functions.trips import quarter_label
+from contrail.operators.clean import lower_names
+
+MOST_PARTITIONS = 10_000
 
 _NO_YEAR = 1 << 40
 
@@ -40,13 +46,41 @@ class Written:
         return reduce(lambda a, b: a | b, each, F.lit(False))
 
 
-def write_processed(trips: DataFrame, root: str, compact: bool = False) -> Written:
-    """Replaces the partitions that ``trips`` touches, and no other.
+def covered(raw: DataFrame, quarter: str | None = None) -> tuple[int, set[tuple[int | None, str]]]:
+    """Rows of raw trips, and the partitions that they cover, cancelled trips included.
 
-    Input laid out by date reaches few partitions per task, so by default nothing is shuffled.
-    ``compact`` is for input in no order, where every task would add a file to every partition: it
-    redistributes the rows by partition, and adaptive execution splits the large partitions into
-    files of its advisory size, so a quarter that holds most rows is not written by one task.
+    A job of its own over two columns, which of a lake are its partition columns. Counting inside
+    the job that cleans would keep the filters from the scan. Dirty year text cannot flood the
+    driver: beyond ``MOST_PARTITIONS`` it is an error.
+    """
+    raw = raw.transform(lower_names)
+    dated = raw.select(*[int_column(raw, c).alias(c) for c in ("year", "month")])
+    counts = dated.groupBy("year", quarter_label().alias("quarter")).count()
+    found = counts.limit(MOST_PARTITIONS + 1).collect()
+    if len(found) > MOST_PARTITIONS:
+        raise ValueError(f"the trips cover more than {MOST_PARTITIONS} years and quarters")
+    touched = {(r["year"], r["quarter"]) for r in found}
+    return sum(r["count"] for r in found), {t for t in touched if quarter in (None, t[1])}
+
+
+def _empty(trips: DataFrame, root: str, year: int | None, quarter: str) -> None:
+    folder = "__HIVE_DEFAULT_PARTITION__" if year is None else year
+    none = trips.limit(0).drop("year", "quarter")
+    none.write.mode("overwrite").parquet(f"{root}/year={folder}/quarter={quarter}")
+
+
+def write_processed(
+    trips: DataFrame,
+    root: str,
+    compact: bool = True,
+    touched: Collection[tuple[int | None, str]] = (),
+) -> Written:
+    """Replaces the partitions that ``trips`` has rows for, and empties the others of ``touched``.
+
+    ``compact`` redistributes the rows by partition, and adaptive execution splits the large
+    partitions into files of its advisory size: no task adds a file to every partition, and a
+    quarter that holds most rows is not written by one task. For input laid out by date, which
+    reaches few partitions per task, the shuffle can be left out.
 
     The observed rows are counted in the tasks that write, after any shuffle.
     """
@@ -63,4 +97,7 @@ def write_processed(trips: DataFrame, root: str, compact: bool = False) -> Writt
         .partitionBy("year", "quarter")
         .parquet(root)
     )
-    return Written.from_metrics(seen.get)
+    written = Written.from_metrics(seen.get)
+    for year, quarter in sorted(set(touched) - set(written.partitions), key=str):
+        _empty(trips, root, year, quarter)
+    return written

@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 from contrail.scratch import materialise
 
 
+# Key columns that the declared tables need, and their greatest lengths.
+KEY_LENGTHS = {
+    "airline_features": {"airline": 10, "quarter": 10},
+    "route_features": {"route": 10, "quarter": 10},
+    "airport_features": {"origin_airport": 10, "quarter": 10},
+}
+
+
 @dataclass(frozen=True)
 class JdbcStore:
     """``truncate`` keeps the declared table (its types, keys and indexes) across overwrites."""
@@ -24,15 +32,36 @@ class JdbcStore:
         sizes = {"batchsize": str(self.batch_rows), "numPartitions": str(self.connections)}
         return {**self.properties, **sizes, "truncate": "true"}
 
+    def _check_keys(self, name: str, table: DataFrame) -> None:
+        """Fails before anything is truncated if a key is null or longer than its column."""
+        limits = KEY_LENGTHS.get(name, {})
+        bad = {
+            c: F.count_if(F.col(c).isNull() | (F.length(F.col(c).cast("string")) > n))
+            for c, n in limits.items()
+            if c in table.columns
+        }
+        if not bad:
+            return
+        found = table.agg(*[n.alias(c) for c, n in bad.items()]).first().asDict()
+        if any(found.values()):
+            raise ValueError(f"{name}: keys that are null or too long for the store: {found}")
+
     def replace(self, name: str, table: DataFrame) -> None:
+        self._check_keys(name, table)
         table.write.jdbc(self.url, name, mode="overwrite", properties=self._write_properties())
 
     def replace_quarter(self, name: str, table: DataFrame, quarter: str) -> None:
         """The store cannot delete by predicate, so the other quarters are read first, kept in the
-        shared folder, and written back together with the new rows."""
+        shared folder, and written back together with the new rows. If that write fails, the folder
+        with all rows is named in the error."""
         kept = self.read(table.sparkSession, name).select(*table.columns)
         whole = kept.filter(F.col("quarter") != quarter).unionByName(table)
-        self.replace(name, materialise(whole, name))
+        whole = materialise(whole, name)
+        try:
+            self.replace(name, whole)
+        except Exception as error:
+            error.add_note(f"the rows that {name} should hold are in {whole.inputFiles()}")
+            raise
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.jdbc(self.url, name, mode="append", properties=dict(self.properties))
@@ -49,15 +78,17 @@ class FolderStore:
         return f"{self.root}/{name}"
 
     def replace(self, name: str, table: DataFrame) -> None:
+        """The file without rows keeps the schema of a table that has none, so it can be read."""
         table.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "quarter"
         ).parquet(self._path(name))
+        schema = table.limit(0).drop("quarter")
+        schema.write.mode("append").parquet(f"{self._path(name)}/quarter=Q1")
 
     def replace_quarter(self, name: str, table: DataFrame, quarter: str) -> None:
-        rows = table.filter(F.col("quarter") == quarter)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "quarter"
-        ).parquet(self._path(name))
+        """Overwrites the folder of the quarter, also when the quarter has no rows any more."""
+        rows = table.filter(F.col("quarter") == quarter).drop("quarter")
+        rows.write.mode("overwrite").parquet(f"{self._path(name)}/quarter={quarter}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self._path(name))
@@ -74,10 +105,14 @@ def load_features(
 ) -> None:
     """Refreshes every table: as a whole, or one quarter of it."""
     for name, table in tables.items():
-        if quarter is None:
-            store.replace(name, table)
-        else:
-            store.replace_quarter(name, table, quarter)
+        load_table(name, table, store, quarter)
+
+
+def load_table(name: str, table: DataFrame, store: FeatureStore, quarter: str | None = None) -> None:
+    if quarter is None:
+        store.replace(name, table)
+    else:
+        store.replace_quarter(name, table, quarter)
 
 
 def lookup_features(

@@ -86,7 +86,7 @@ def test_publish_land_process(spark, tmp_path, monkeypatch, capsys):
         from_file = counts()
         jobs.main(["process", "--tables-only", "--names-from-header"])
         assert counts() == from_file
-        jobs.main(["process", "--source", "lake", "--compact"])
+        jobs.main(["process", "--source", "lake", "--in-date-order"])
         assert counts() == from_file == {"Q1": 3, "Q2": 3, "Q3": 3, "Q4": 3}
         monkeypatch.setenv("QUARTER", "Q2")
         jobs.main(["process", "--source", "lake"])

@@ -9,6 +9,7 @@ from unittest import mock
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 
+from contrail.operators.aggregates import FEATURE_TABLES
 from contrail.operators.clean import clean
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import engineer_features
@@ -81,6 +82,9 @@ def test_raw_lake_without_files_is_empty(spark, tmp_path):
     assert read_raw(spark, str(tmp_path)).count() == 0
 
 
+LOADS = [f"load_{name}" for name in FEATURE_TABLES]
+
+
 def rerun(spark, tmp_path, changes, quarter=None, store=None, **options):
     store = store or FolderStore(str(tmp_path / "store"))
     lookups = carriers(spark), airports(spark)
@@ -100,7 +104,7 @@ def stage_rows(spark, store):
 def test_run_writes_tables_and_log(spark, tmp_path, compact):
     store, result = rerun(spark, tmp_path, [*MONTHS, {"cancelled": "1"}], compact=compact)
     log = stage_rows(spark, store)
-    assert set(log) == {"lookups", "process", "aggregate", "load"}
+    assert set(log) == {"lookups", "process", "aggregate", "load", *LOADS}
     assert {r.status for r in log.values()} == {"SUCCESS"}
     assert {r.run_id for r in log.values()} == {result.run_id}
     assert log["lookups"].records_in == 4
@@ -119,7 +123,7 @@ def test_run_without_lake_gives_the_same_tables(spark, tmp_path, quarter):
         assert rows_of(without.tables[name].drop("processed_at")) == rows_of(
             table.drop("processed_at")
         )
-    assert set(stage_rows(spark, store)) == {"lookups", "aggregate", "load"}
+    assert set(stage_rows(spark, store)) == {"lookups", "aggregate", "load", *LOADS}
 
 
 def test_run_ignores_partitions_of_earlier_input(spark, tmp_path):
@@ -198,3 +202,31 @@ def test_folder_tables_round_trip(spark, tmp_path):
     store, result = rerun(spark, tmp_path, MONTHS)
     for name, table in result.tables.items():
         assert rows_of(store.read(spark, name).select(table.columns)) == rows_of(table)
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+@pytest.mark.parametrize("lake", [True, False])
+def test_quarter_without_rows_is_emptied(spark, tmp_path, conf, threshold, lake):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    options = {} if lake else {"processed_root": None}
+    store, _ = rerun(spark, tmp_path, MONTHS, **options)
+    rerun(spark, tmp_path, [{"month": "1", "cancelled": "1"}, {"month": "5"}], "Q1", store, **options)
+    for name in FEATURE_TABLES:
+        assert {r.quarter for r in store.read(spark, name).collect()} == {"Q2", "Q3", "Q4"}
+    if lake:
+        left = read_processed(spark, str(tmp_path / "processed"), year=2015)
+        assert {r.quarter for r in left.collect()} == {"Q2", "Q3", "Q4"}
+
+
+def test_run_without_rows_leaves_readable_tables(spark, tmp_path):
+    store, _ = rerun(spark, tmp_path, [{"cancelled": "1"}])
+    for name in FEATURE_TABLES:
+        assert store.read(spark, name).count() == 0
+    assert read_processed(spark, str(tmp_path / "processed")).count() == 0
+
+
+def test_store_is_not_touched_when_a_key_does_not_fit(spark, tmp_path):
+    store = JdbcStore("jdbc:none")
+    table = spark.createDataFrame([("10397-11298", "Q1"), (None, "Q1")], "route string, quarter string")
+    with pytest.raises(ValueError, match="'route': 2"):
+        store.replace("route_features", table)

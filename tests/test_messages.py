@@ -66,6 +66,7 @@ def test_broken_message_is_kept(spark):
     broken = spark.createDataFrame([("k", "{not json")], "key string, value string")
     row = from_messages(broken).first()
     assert row.message_key == "k" and row.year is None and row.airline is None
+    assert row.corrupt_value == "{not json"
 
 
 def test_broker_options():
