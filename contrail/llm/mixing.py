@@ -36,8 +36,8 @@ class Settings:
 
 
 def _share(text: Column, characters: str) -> Column:
-    left = F.length(F.translate(text, characters, ""))
-    return 1 - left / F.greatest(F.length(text), F.lit(1))
+    found = F.length(text) - F.length(F.translate(text, characters, ""))
+    return found / F.greatest(F.length(text), F.lit(1))
 
 
 def topic(text: Column, tokens: Column) -> Column:

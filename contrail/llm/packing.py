@@ -93,7 +93,8 @@ def pack(
     def by_bucket(values: list[int]) -> Column:
         return F.element_at(F.array(*[F.lit(v).cast("long") for v in values or [1]]), F.col("bucket") + 1)
 
-    draw = F.xxhash64("doc_id", "piece", "n_tokens")
+    digits = F.substring(F.md5(F.concat_ws(":", "doc_id", "piece", "n_tokens")), 1, 13)
+    draw = F.conv(digits, 16, 10).cast("long")
     order = Window.partitionBy("bucket", "shard").orderBy("n_tokens", "doc_id", "piece")
     per_batch = by_bucket([batch_tokens // e for e in ends])
     return (

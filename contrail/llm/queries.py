@@ -11,6 +11,7 @@ from contrail.llm import embedding_dedup, html_text, mixing, packing, pii, quali
 from contrail.llm.common import held_out, table
 from contrail.llm.lm_scoring import lm_score
 from contrail.llm.near_dedup import near_duplicates
+from contrail.llm.oracles import LENGTH_BUCKETS, RAKING
 from contrail.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +24,9 @@ def op1_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return mixing.mix(docs).select("doc_id", "mixing.*")
+    mixed = mixing.mix(docs).select("doc_id", "mixing.*")
+    # The order in which a cluster adds doubles changes the last digits.
+    return mixed.withColumns({c: F.round(c, 9) for c in ("weight", "probability")})
 
 
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +91,4 @@ QUERIES: dict[str, Query] = {
     "op9_lattice": op9_lattice,
     "op10_graded_quality": op10_graded_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_raking": RAKING, "op7_length_buckets": LENGTH_BUCKETS}
