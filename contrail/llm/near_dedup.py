@@ -2,7 +2,7 @@
 
 Documents with equal shingle sets are one class. The signatures of the classes are sorted in several
 orders; neighbours with a long common prefix are candidates, and every link is confirmed on the full
-shingle sets of both texts.
+shingle sets of both texts. What the neighbours leave apart in a large region is compared in full.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ _LABEL = 16
 class Settings:
     """``least``: common prefix that two neighbours must have. A region of the order that is larger
     than ``region`` is cut where its common prefixes are shortest. ``first``: links tried per class
-    before those between different components; ``agree``: equal values of 16 that a pair needs."""
+    before those between different components; ``agree``: equal values of 16 that a pair needs.
+    ``block_shingles``: about how many shingles a block of a large region has."""
 
     shingle: int = 5
     percent: int = 75
@@ -38,6 +39,7 @@ class Settings:
     first: int = 6
     agree: int = 7
     block_pairs: int = 500
+    block_shingles: int = 500_000
 
 
 def shingles(text: str | None, size: int = 5) -> np.ndarray:
@@ -90,7 +92,8 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def region_pairs(labels: np.ndarray, settings: Settings) -> np.ndarray:
     """Index pairs of rows of a sorted region, all of which share the least prefix. Small regions
     give all pairs. Large ones are cut where neighbours have least in common, and the neighbours at
-    a cut are paired; rows with equal labels are paired with the next few."""
+    a cut are paired; rows with equal labels are paired with the next few. That joins most of a
+    large region; :func:`remainder` compares what it leaves apart."""
     out, todo = [], [(0, len(labels))]
     equal = labels[1:] == labels[:-1]
     common = np.where(equal.all(1), _LABEL, (~equal).argmax(1)) if len(labels) > 1 else np.empty(0)
@@ -114,6 +117,18 @@ def region_pairs(labels: np.ndarray, settings: Settings) -> np.ndarray:
     return np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
 
 
+def orders(classes: DataFrame, settings: Settings) -> DataFrame:
+    """A row per class and order: ``tree``, its ``label`` there, and the other columns of ``classes``."""
+    step = _VALUES // settings.trees * 2  # bytes between the beginnings of two orders
+    label = F.substring(F.concat("sig", "sig"), F.col("tree") * step + 1, F.lit(_LABEL * 2))
+    trees = F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree")
+    return classes.select("*", trees).withColumn("label", label).drop("sig")
+
+
+def _prefix(settings: Settings):
+    return F.substring("label", 1, settings.least * 2).alias("prefix")
+
+
 def forest_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
     """Candidate pairs ``a`` < ``b`` of nodes, with ``near`` (neighbours in some order) and ``key``
     (a value that similar classes mostly share).
@@ -122,11 +137,8 @@ def forest_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
     spread over as many tasks as it needs; a task reads its rows in order and holds one region, or
     a part of a very large one. Where a range ends inside a region, the other orders still join it.
     """
-    step = _VALUES // settings.trees * 2  # bytes between the beginnings of two orders
-    label = F.substring(F.concat("sig", "sig"), F.col("tree") * step + 1, F.lit(_LABEL * 2))
-    rows = classes.select("node", "n", F.substring("sig", 1, 2).alias("key"), "sig",
-                          F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree"))
-    rows = rows.select("tree", label.alias("label"), "node", "n", "key")
+    rows = orders(classes.select("node", "n", F.substring("sig", 1, 2).alias("key"), "sig"), settings)
+    rows = rows.select("tree", "label", "node", "n", "key")
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
     rows = rows.repartitionByRange(parts, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
 
@@ -223,6 +235,110 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, settings: Set
     )
 
 
+# Remainder --------------------------------------------------------------------------------------
+
+
+def links_between(sets: list[np.ndarray], labels: np.ndarray, component: np.ndarray, block: np.ndarray,
+                  settings: Settings) -> list[tuple[int, int]]:
+    """Index pairs of similar sets that join all components which similar pairs connect: pairs with
+    enough equal label values and, if there are two blocks, with one set in each.
+
+    A component is compared with all that is left, takes in what it meets, and goes on with that
+    until nothing is left to meet; the fewer rows of both sides are gone through one by one."""
+    if not sets:
+        return []
+    sizes, codes = np.array([len(s) for s in sets]), np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts, marked = np.cumsum(sizes) - sizes, np.zeros(codes.max() + 1, bool)
+    component = np.unique(component, return_inverse=True)[1]
+    order = np.argsort(component, kind="stable")
+    members = np.split(order, np.flatnonzero(np.diff(component[order])) + 1)
+    two, left, out = block.min() != block.max(), np.ones(len(sets), bool), []
+
+    def met(i: int, others: np.ndarray) -> np.ndarray:
+        least, most = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        fit = 100 * least >= settings.percent * most
+        if two:
+            fit &= block[others] != block[i]
+        others = others[fit]
+        others = others[(labels[others] == labels[i]).sum(1) >= settings.agree]
+        if not len(others):
+            return others
+        own, given = codes[starts[i] : starts[i] + sizes[i]], sizes[others]
+        first = np.cumsum(given) - given
+        places = np.arange(given.sum()) + np.repeat(starts[others] - first, given)
+        marked[own] = True
+        both = np.add.reduceat(marked[codes[places]], first, dtype=np.int64)
+        marked[own] = False
+        return others[100 * both >= settings.percent * (sizes[i] + given - both)]
+
+    def take(found: np.ndarray) -> list[int]:
+        left[found] = False
+        return found.tolist()
+
+    for own in sorted(members, key=len):
+        if not left[own[0]]:
+            continue
+        todo = take(own)
+        while todo and left.any():
+            rest = np.flatnonzero(left)
+            if len(todo) > len(rest):
+                now, todo = np.array(todo), []
+                for j in rest.tolist():
+                    if left[j] and len(hit := met(j, now)):
+                        out.append((int(hit[0]), j))
+                        todo += take(members[component[j]])
+                continue
+            i = todo.pop()
+            for j in met(i, rest).tolist():
+                if left[j]:
+                    out.append((i, j))
+                    todo += take(members[component[j]])
+    return out
+
+
+def remainder(classes: DataFrame, found: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """Links ``a``, ``b`` between the components ``found`` of all regions with more than ``region``
+    rows, in which only some pairs were tried.
+
+    The rows of a region that has several components are dealt to blocks of bounded size by hash, and
+    every two blocks and every block alone are a group of their own, so a region of any size is
+    compared in full, in as many tasks as it needs.
+    """
+    rows = classes.select("node", "rep", "n", "sig").join(found, "node", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "node"))
+    rows = orders(rows, settings).withColumn("prefix", _prefix(settings))
+    several = F.min("component") != F.max("component")
+    regions = rows.groupBy("tree", "prefix").agg(
+        F.ceil(F.sum("n") / settings.block_shingles).alias("blocks"), (several & (F.count("*") > settings.region)).alias("open")
+    )
+    regions = materialise(regions.filter("open").drop("open"), "regions")
+    rows = rows.join(regions, ["tree", "prefix"])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    rows = materialise(rows.select("tree", "prefix", "low", "high", "node", "rep", "component", "label", "block"), "open")
+    wanted = rows.select("rep", "node").distinct()
+    texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "text")
+
+    def check(own: pd.DataFrame) -> pd.DataFrame:
+        sets, places, seen = [], [], set()
+        for k, (node, text) in enumerate(zip(own["node"], own["text"])):
+            shingled = shingles(text, settings.shingle) if node not in seen else ()
+            if len(shingled) and fingerprint(shingled)[0] == node:
+                seen.add(node)
+                sets.append(shingled)
+                places.append(k)
+        own = own.iloc[places]
+        labels = np.frombuffer(b"".join(own["label"]), ">u2").reshape(-1, _LABEL)
+        component, block = own["component"].to_numpy(), own["block"].to_numpy()
+        nodes, pairs = own["node"].to_numpy(), links_between(sets, labels, component, block, settings)
+        i, j = np.array(pairs, np.int64).reshape(-1, 2).T
+        return pd.DataFrame({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])})
+
+    rows = rows.join(texts, "node").drop("rep")
+    return rows.groupBy("tree", "prefix", "low", "high").applyInPandas(check, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs`` (integer ``doc_id``, ``text``): ``doc_id``, ``n_shingles``,
     ``component_id`` (least id reachable) and ``kept`` (the id is that of its component).
@@ -265,6 +381,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         tried = tried.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
     tried = tried.filter(F.col("of_a") != F.col("of_b")).select("a", "b", "key")
     more = materialise(confirm(tried, classes, docs, settings), "links")
+    links = links.union(more)
+    if not more.isEmpty():
+        found = materialise(components(links), "components")
+    more = materialise(remainder(classes, found, docs, settings), "links")
     if not more.isEmpty():
         found = materialise(components(links.union(more)), "components")
 

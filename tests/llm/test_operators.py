@@ -23,6 +23,7 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, quality string, "
     "mixing int, node int, n_tokens string, tokens int, label string, graded int"
 )
+RNG = np.random.default_rng(17)
 LONG = " ".join(f"w{k % 5000}x{k // 7}" for k in range(30_000))
 ROWS = [
     (1, "", "en", "a", 0), (2, None, "en", None, None), (3, "Only two", None, "a", 8),
@@ -134,6 +135,39 @@ def test_near_duplicates(docs, real):
     assert edge == sorted(expected, key=repr)
 
 
+def edited(found, places):
+    return [f"edit{RNG.integers(10**9)}" if k in places else w for k, w in enumerate(found)]
+
+
+def test_large_near_duplicate_groups_are_whole(spark):
+    """A star, whose copies are near the original alone, and a passage in texts that are near one
+    other text at most."""
+    centre, passage = ([f"{p}{k}" for k in range(100)] for p in "cp")
+    texts = [edited(centre, RNG.choice(100, 2, False)) for _ in range(4000)] + [centre]
+    for k in range(1500):
+        texts.append(edited(passage, range(62, 100)))
+        texts.append(edited(texts[-1], [RNG.integers(62, 100)]))
+    order = RNG.permutation(len(texts))
+    texts = [texts[k] for k in order]
+    sets = [{tuple(t[i : i + 5]) for i in range(96)} for t in texts]
+    held = Counter(s for own in sets for s in own)
+    code = {s: k for k, s in enumerate(s for s, n in held.items() if n > 1)}
+    has = np.zeros((len(sets), len(code)), np.float32)
+    for k, own in enumerate(sets):
+        has[k, [code[s] for s in own if s in code]] = 1
+    sizes, root = np.array([len(s) for s in sets]), np.arange(len(sets))
+    both = has @ has.T
+    near = 100 * both >= 75 * (sizes[:, None] + sizes - both)
+    while (least := np.where(near, root, len(root)).min(1)).tolist() != root.tolist():
+        root = least
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    # Blocks of about 1000 rows, so that regions are compared block by block.
+    settings = near_dedup.Settings(block_shingles=100_000)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(table, settings).collect()}
+    assert [found[k] for k in range(len(root))] == root.tolist()
+
+
 def test_quality_rules(docs, real):
     edge = quality_rules.quality_rules(docs)
     assert edge.columns == [*docs.columns, "quality_"]
