@@ -23,9 +23,10 @@ _CHUNK = 4096
 @dataclass(frozen=True)
 class Settings:
     """``explicit`` words have an output of their own; ``known`` at most are broadcast with their
-    counts. All other words are counted exactly too, but through joins. ``stride``: a gradient step
-    takes one excerpt in so many, spread over every training document. ``rounds``: how often the
-    replicas of the tasks are averaged; each round learns from its share of the documents."""
+    counts. All other words are counted exactly too, but through joins. ``stride``: gradient steps
+    take one excerpt in so many of the training documents laid end to end; 1 takes every token, and
+    more leaves out short documents whole. ``rounds``: how often the replicas of the tasks are
+    averaged; each round learns from its share of the documents."""
 
     explicit: int = 2048
     known: int = 65_536
@@ -34,7 +35,7 @@ class Settings:
     hidden: int = 24
     warm_up_docs: int = 400
     rounds: int = 3
-    stride: int = 5
+    stride: int = 1
     rate: float = 0.05
     chunk_tokens: int = 2_000_000
     seed: int = 5
@@ -151,7 +152,7 @@ def _sum_chunks(parts: DataFrame) -> DataFrame:
 def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurrent.Shape, np.ndarray]:
     """The model: a start on a bounded number of documents in one task, then ``rounds`` in which
     every task learns a replica from its documents and the replicas are averaged, weighted by their
-    tokens. Every training document takes part in one round."""
+    tokens. Every training document takes part in one round, with all its tokens if ``stride`` is 1."""
     shape = recurrent.Shape(corpus.starts, settings.tails, settings.hidden)
     flat = recurrent.first_weights(shape, corpus.ids, settings.seed)
     texts, n_words = corpus.count_of[corpus.words[b""]], shape.words

@@ -92,6 +92,19 @@ def test_quality_verdicts():
     assert not measure(" ".join([some_text(30, 10**6)] * 4))[-1]
 
 
+def test_every_training_token_gets_a_gradient():
+    """Short documents of one id each: an id that no step learns from keeps its memory."""
+    from contrail.llm.lm_scoring import Settings
+
+    counts = np.ones(42)
+    shape = recurrent.Shape(recurrent.class_starts(counts[:40], 3), 2, hidden=6)
+    flat = recurrent.first_weights(shape, counts, 1)
+    memory = np.full_like(flat, 1e-6)
+    docs = [np.full(30, k, np.int32) for k in range(42)]
+    recurrent.learn(flat, shape, docs, memory, 0.05, Settings().stride)
+    assert (shape.split(memory)[0] > 1e-6).any(1).all()
+
+
 def test_shingles_and_similarity():
     text = some_text(50, 1000)
     found = text.split()
