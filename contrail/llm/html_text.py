@@ -22,6 +22,8 @@ BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer main nav address form fieldset figcaption "
     "li dt dd details summary legend center tr caption thead tbody tfoot".split()
 )
+# All that an open head takes; other tags and text end it.
+IN_HEAD = frozenset("title meta link base script style template noscript noframes".split())
 # An opening tag ends the open elements on the right, up to the first of those after the bar.
 _LIST, _TABLE = {"ul", "ol", "menu"}, {"table"}
 ENDS = {
@@ -73,10 +75,16 @@ class TreeBuilder(HTMLParser):
                 self._end_up_to(ended, until)
                 return
 
+    def _end_head(self) -> None:
+        if self.open[-1].tag == "head":
+            self._close_from(len(self.open) - 1)
+
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             self.root.attrs |= {k: v or "" for k, v in attrs}
             return
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self._end_up_to({"p"}, _SCOPE)
         if tag in ENDS:
@@ -104,6 +112,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if _SPACE.sub("", data):
+            self._end_head()
         self.open[-1].children.append(data)
 
 

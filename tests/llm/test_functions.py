@@ -257,6 +257,10 @@ def test_ordered_thresholds_and_grades():
         ("x &amp; &lt;y&gt; &eacute;", "x & <y> é"),
         ("</div></p><td>stray</b>", "stray"),
         ("<div>" * 30_000 + "deep", "deep"),
+        ("<html><head><title>T</title><p>Hello", "Hello"),
+        ("<head>\n<meta charset=utf-8>\n<title>T</title>\nHello <b>you</b>", "Hello you"),
+        ("<head><style>no</style><noscript><p>no</noscript><template><p>no</template></head>yes", "yes"),
+        ("<head><script>no</script><link rel=x><div>yes</div></head><body>too", "yes\ntoo"),
     ],
 )
 def test_visible_text(html, text):
