@@ -14,9 +14,11 @@ from contrail.llm.common import fresh, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe object svg math audio video canvas datalist "
-    "textarea select".split()
+    "head script style template noscript title iframe object audio video canvas datalist "
+    "annotation annotation-xml".split()
 )
+# Parts of a drawing that are not drawn where they stand.
+UNDRAWN = frozenset("desc defs metadata symbol clippath mask pattern marker".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer main nav address form fieldset figcaption "
@@ -37,6 +39,11 @@ ENDS = {
     "tbody": ({"td", "th", "tr", "thead", "tbody", "caption", "colgroup"}, _TABLE),
     "tfoot": ({"td", "th", "tr", "thead", "tbody"}, _TABLE),
     "body": ({"head"}, set()),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
+    "select": ({"select"}, set()),
+    "textarea": ({"select"}, set()),
+    "input": ({"select"}, set()),
 }
 _SCOPE = {"table", "td", "th", "caption", "html", "body"}
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -97,6 +104,9 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        foreign = (self.depth["svg"] or self.depth["math"]) and not self.depth["foreignobject"]
+        if foreign and tag not in VOID and self.open[-1].tag == tag:
+            self._close_from(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -198,9 +208,39 @@ def _span(node: Node) -> int:
     return min(int(value), 100) if value.isdecimal() and len(value) < 5 and int(value) else 1
 
 
+def _content(root: Node) -> str:
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str):
+            found.append(node)
+        elif not hidden(node):
+            todo += reversed(node.children)
+    return "".join(found).strip()
+
+
+def _options(select: Node) -> tuple[list[Node], bool]:
+    """The options that a browser shows, and whether they are a list: of a closed select, the last
+    that is selected, or else the first that can be."""
+    found, todo = [], [select]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or (node is not select and hidden(node)):
+            continue
+        if node.tag == "option":
+            found.append(node)
+        else:
+            todo += reversed(node.children)
+    size = select.attrs.get("size", "")
+    if "multiple" in select.attrs or (size.isdecimal() and size.lstrip("0") not in ("", "1")):
+        return found, True
+    chosen = [o for o in found if "selected" in o.attrs][-1:]
+    return chosen or [o for o in found if "disabled" not in o.attrs][:1] or found[:1], False
+
+
 def render(root: Node) -> str:
     """The visible text of a tree. Walks with a list of its own, so no depth of nesting is too much."""
-    flows, tables, lists, pre = [Flow()], [], [], 0
+    flows, tables, lists, pre, drawn = [Flow()], [], [], 0, 0
     todo: list[tuple[str, object]] = [("in", root)]
     while todo:
         step, node = todo.pop()
@@ -210,7 +250,14 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if step == "in":
-            if hidden(node):
+            if hidden(node) or (drawn and tag in UNDRAWN):
+                continue
+            if tag == "select":
+                options, listed = _options(node)
+                for option in options:
+                    flow.block(False) if listed else flow.text(" ")
+                    flow.text(option.attrs.get("label") or _content(option))
+                flow.block(False) if listed else flow.text(" ")
                 continue
             if tag == "br":
                 flow.flush(keep_empty=False)
@@ -236,11 +283,15 @@ def render(root: Node) -> str:
                     lists[-1] += 1
             elif tag in BLOCKS:
                 flow.block(tag in SPACED)
-            pre += tag == "pre"
+            elif tag == "textarea" or (drawn and tag == "text"):
+                flow.block(False)
+            pre += tag in ("pre", "textarea")
+            drawn += tag == "svg"
             todo.append(("out", node))
             todo += [("in", child) for child in reversed(node.children)]
             continue
-        pre -= tag == "pre"
+        pre -= tag in ("pre", "textarea")
+        drawn -= tag == "svg"
         if tag in ("td", "th") and tables and len(flows) > 1:
             tables[-1].cell(flows.pop().done() or [""], _span(node))
         elif tag == "table" and tables:
@@ -253,12 +304,15 @@ def render(root: Node) -> str:
             flow.block(not lists)
         elif tag in BLOCKS:
             flow.block(tag in SPACED)
+        elif tag == "textarea" or (drawn and tag == "text"):
+            flow.block(False)
     return "\n".join(flows[0].done())
 
 
 def visible_text(html: str | None) -> str:
     """All visible text of a page, whole: blocks on lines of their own, blank lines around paragraphs
-    and headings, list marks, tables in aligned columns. Null and empty pages give an empty text;
+    and headings, list marks, tables in aligned columns. Formulas, the text of drawings and of text
+    areas, and the options that a select shows are part of it. Null and empty pages give an empty text;
     markup of any kind, broken or deeply nested, gives some text and never an error."""
     builder = TreeBuilder()
     builder.feed(html or "")

@@ -258,6 +258,14 @@ def test_ordered_thresholds_and_grades():
         ("</div></p><td>stray</b>", "stray"),
         ("<div>" * 30_000 + "deep", "deep"),
         ("<html><head><title>T</title><p>Hello", "Hello"),
+        ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> b", "a x=2 b"),
+        ("<svg><title>no</title><desc>no</desc><defs/><path d=x /><text>one</text><text>two</text></svg>z", "one\ntwo\nz"),
+        ("<svg><defs><text>no</text></defs><text>yes</text></svg>", "yes"),
+        ("a<textarea>b  c\nd</textarea>e", "a\nb  c\nd\ne"),
+        ("a<select><option>no<option selected>yes<option>no</select>b", "a yes b"),
+        ("<select><option disabled>no<option>yes</select>", "yes"),
+        ("<select multiple><optgroup label=g><option>a<option label=b>no</select>c", "a\nb\nc"),
+        ("<select size=10><option>a<option>b</select>", "a\nb"),
         ("<head>\n<meta charset=utf-8>\n<title>T</title>\nHello <b>you</b>", "Hello you"),
         ("<head><style>no</style><noscript><p>no</noscript><template><p>no</template></head>yes", "yes"),
         ("<head><script>no</script><link rel=x><div>yes</div></head><body>too", "yes\ntoo"),
