@@ -133,3 +133,102 @@ SELECT doc_id, piece::BIGINT AS piece, start::BIGINT AS start, n_tokens::BIGINT
   (place // (65536 // high))::BIGINT AS batch, (place % (65536 // high))::INTEGER AS slot
 FROM numbered
 """
+
+# The filters of a text as bits, documents by part and bits, and every order's steps over these.
+FILTER_AUDIT = r"""
+WITH graded AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, part,
+    [len(words) < 100,
+     100 * len(list_distinct(words)) < 80 * len(words),
+     100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 10 * length(body),
+     regexp_matches(body, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)] AS fails
+  FROM texts
+), counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good = 1) AS good,
+    count(*) FILTER (toxic = 1) AS toxic
+  FROM marked LEFT JOIN graded USING (doc_id) GROUP BY part, fails
+), letters AS (
+  SELECT unnest(range(1, 6)) AS i
+), orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (
+  SELECT list_aggregate(list_transform(o, lambda i: substr('ABCDE', i::INT, 1)), 'string_agg', '') AS filter_order,
+    i AS step, o[i] AS here, o[1:i - 1] AS before
+  FROM orders CROSS JOIN letters
+), reached AS (
+  SELECT part, filter_order, step, here, n, good, toxic,
+    fails[here] AS failing,
+    len(list_filter(before, lambda i: fails[i])) = 0 AS there,
+    len(list_filter(fails, lambda f: f)) = 1 AND fails[here] AS alone
+  FROM counts CROSS JOIN steps
+), summed AS (
+  SELECT part, filter_order, step, here,
+    sum(CASE WHEN there AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN there AND failing THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN failing AND NOT there THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN there AND failing THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN there AND failing THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM reached GROUP BY ALL
+)
+SELECT * EXCLUDE (here, step), step::INTEGER AS step,
+  sum(removed) OVER (PARTITION BY part, here)::BIGINT AS shapley
+FROM summed
+"""
+
+# All prefixes of all conversations, grouped; subtrees summed over each node's own prefixes. The crc32
+# of the decimal id, by the table of its polynomial, says how many turns a conversation takes over.
+PREFIX_TRIE = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, 0 AS k, i::BIGINT AS v FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+  FROM bits WHERE k < 8
+), crc_table AS (
+  SELECT list(v ORDER BY byte) AS crc FROM bits WHERE k = 8
+), own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+  SELECT conv_id, turns, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM own CROSS JOIN crc_table
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(b.turns[1:c.h], []) || c.turns[c.h + 1:] AS turns
+  FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, turns[1:d] AS prefix, d AS depth, turns[d].text AS last, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * len(regexp_extract_all(coalesce(any_value(last), ''), '[^\x20\x09-\x0D]+')) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefixes GROUP BY prefix, depth
+), children AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (prefix)
+), sums AS (
+  SELECT prefix, sum(saved)::BIGINT AS saved_tokens, sum((n_children = 0)::INT)::BIGINT AS n_leaves
+  FROM (SELECT c.prefix[1:d] AS prefix, saved, n_children
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM counted) c)
+  GROUP BY prefix
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+  saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (prefix)
+  LEFT JOIN nodes p ON c.depth > 0 AND p.prefix = c.prefix[1:c.depth - 1]
+"""

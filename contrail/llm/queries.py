@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from contrail.llm import embedding_dedup, html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
+from contrail.llm.filter_audit import filter_audit
 from contrail.llm.lm_scoring import lm_score
 from contrail.llm.near_dedup import near_duplicates
-from contrail.llm.oracles import LENGTH_BUCKETS, RAKING
+from contrail.llm.oracles import FILTER_AUDIT, LENGTH_BUCKETS, PREFIX_TRIE, RAKING
+from contrail.llm.prefix_trie import prefix_trie
 from contrail.llm.quality_rules import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +81,15 @@ def op10_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit(docs, table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_recurrent_lm": op1_recurrent_lm,
     "op2_raking": op2_raking,
@@ -90,5 +101,12 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
     "op10_graded_quality": op10_graded_quality,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_filter_audit": op13_filter_audit,
+}
+ORACLES = {
+    "op2_raking": RAKING,
+    "op7_length_buckets": LENGTH_BUCKETS,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_filter_audit": FILTER_AUDIT,
 }
-ORACLES = {"op2_raking": RAKING, "op7_length_buckets": LENGTH_BUCKETS}

@@ -1,0 +1,200 @@
+"""The prefix trie and the filter audit against brute force: edge rows, many shards, hot groups."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from contrail.llm import prefix_trie as trie
+from contrail.llm.filter_audit import FILTERS, filter_audit
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+TURNS = "conv_id long, turn long, role string, text string, kind int, path string, shard string, key int"
+
+
+def brute_trie(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            own[conv].append((turn is not None, turn or 0, role, digest, text))
+    own = {c: [(t[2], t[4]) for t in sorted(found)] for c, found in own.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        opening = c - (c % 20 if c >= 0 else -(-c % 20))
+        path = tuple(own.get(opening, [])[:h] + own[c][h:])
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, found in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += children[p] == 0
+            saved[p[:d]] += (len(found) - 1) * len(WORD.findall(p[-1][1])) if p else 0
+    return Counter(
+        (
+            m[0], len(p), members[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p],
+            hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest(),
+        )
+        for p, m in members.items()
+    )
+
+
+def tuples(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def some_turns(n, seed):
+    """Conversations over few different turns, so most of them share long prefixes; a third equal."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for c in rng.permutation(np.arange(-30, n)).tolist():
+        length = 4 if c % 3 == 0 else int(rng.integers(1, 7))
+        for t in range(length):
+            pick = 0 if c % 3 == 0 else int(rng.integers(0, 3))
+            rows.append((c, t, ("user", "bot")[t % 2], f"turn {pick} é\n{'w ' * pick}"))
+    return rows
+
+
+EDGES = [
+    (1, 0, "user", "a b"), (1, 0, "user", "a b"), (1, None, "bot", "first"), (1, None, None, None),
+    (2, 5, "user", "tie one"), (2, 5, "user", "tie two"), (2, 5, "bot", "tie"), (None, 1, "user", "lost"),
+    (3, 1, "use", "rhello"), (4, 1, "user", "hello"), (23, 1, "user", ""), (24, None, None, ""),
+    (5, 1, "user", "w " * 50_000), (6, 1, "user", "w " * 50_000), (-21, 2, "user", "x"),
+    (2**62, 1, "user", "large"), (2**62 + 1, 1, "user", "large"),
+]
+
+
+@pytest.mark.parametrize("shard_turns", [3, 40, 10**6])
+@pytest.mark.parametrize("rows", [EDGES, some_turns(150, 1)], ids=["edges", "shared"])
+def test_trie(spark, rows, shard_turns):
+    turns = spark.createDataFrame([(*r, 1, "p", "s", 2) for r in rows], TURNS).repartition(4)
+    found = tuples(trie.prefix_trie(turns, shard_turns=shard_turns, least_turns=shard_turns))
+    assert found == brute_trie(rows)
+
+
+def test_copies_of_one_conversation_spread_over_shards(spark, monkeypatch):
+    """Nine tenths of the conversations are the same, so its node lies in nearly all shards; ids that
+    end on it come as several rows a shard."""
+    monkeypatch.setattr(trie, "CHUNK", 7)
+    rows = [(c, t, "user", f"same {t}") for c in range(0, 400) for t in range(3)]
+    rows += [(c, t, "user", f"other {c % 5} {t}") for c in range(400, 440) for t in range(4)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = tuples(trie.prefix_trie(turns, shard_turns=50))
+    assert found == brute_trie(rows)
+
+
+def test_empty_and_turnless(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert trie.prefix_trie(none).collect() == []
+    # The opening conversation is missing, so a short conversation can lose all of its turns.
+    short = next(c for c in range(1, 99) if c % 20 and zlib.crc32(str(c).encode()) % 4 == 3)
+    rows = [(short, 0, "user", "gone")]
+    turns = spark.createDataFrame(rows, none.schema)
+    assert tuples(trie.prefix_trie(turns)) == brute_trie(rows)
+    assert trie.prefix_trie(turns).first()["n_convs"] == 1
+
+
+def test_medians_balance_the_search_tree():
+    tree = trie.TernaryTrie()
+    for k in trie.medians(1023):
+        tree.insert([k])
+    height = {-1: 0}
+    for node in range(1023, 0, -1):
+        height[node] = 1 + max(height[tree.lower[node]], height[tree.higher[node]])
+    assert height[tree.first[0]] == 10
+    assert [tree.symbol[k] for k in tree.in_order()] == list(range(-1, 1023))
+    assert list(trie.medians(0)) == [] and sorted(trie.medians(7)) == list(range(7))
+
+
+def brute_audit(rows, labels):
+    first, graded, masks = {}, defaultdict(lambda: [False, False]), defaultdict(list)
+    for d, text, _ in rows:
+        if d is not None:
+            first[text or ""] = min(d, first.get(text or "", d))
+    for d, quality, toxic in labels:
+        if d is not None:
+            graded[d][0] |= quality == 1
+            graded[d][1] |= toxic == 1
+    for d, text, lang in rows:
+        text = text or ""
+        words = WORD.findall(text)
+        fails = {
+            "A": len(words) < 100,
+            "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 10 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)),
+            "E": d is not None and d > first[text],
+        }
+        masks[lang or ""].append((fails, *(graded[d] if d is not None else (False, False))))
+    found = []
+    for part, docs in masks.items():
+        shapley, steps = Counter(), []
+        for order in map("".join, itertools.permutations(FILTERS)):
+            left = docs
+            for k, letter in enumerate(order):
+                gone = [x for x in left if x[0][letter]]
+                left = [x for x in left if not x[0][letter]]
+                shapley[letter] += len(gone)
+                failing = sum(x[0][letter] for x in docs)
+                alone = sum(x[0][letter] and sum(x[0].values()) == 1 for x in docs)
+                lost = [sum(x[i] for x in gone) for i in (1, 2)]
+                steps.append((part, order, k + 1, len(left), len(gone), failing - len(gone), alone, *lost))
+        found += [(*s, shapley[s[1][s[2] - 1]]) for s in steps]
+    return Counter(found)
+
+
+def some_documents(seed):
+    rng = np.random.default_rng(seed)
+    texts = ["", None, " \n", "A" * 9 + " b", "x # y", "same text", "w " * 500, "é " * 120]
+    texts += [" ".join(f"w{k}" for k in rng.integers(0, 10**rng.integers(1, 5), 130)) for _ in range(20)]
+    texts += [f"{t} LOUD $" for t in texts[8:14]]
+    texts.append(" ".join(f"long{k}" for k in range(100_000)))
+    rows = [
+        (None if k % 11 == 0 else int(rng.integers(0, 60)), texts[rng.integers(0, len(texts))],
+         ["en", "de", None, ""][rng.integers(0, 4)])
+        for k in range(200)
+    ]
+    labels = [(int(rng.integers(0, 70)), int(rng.integers(0, 2)), int(rng.integers(0, 2))) for _ in range(60)]
+    return rows, [*labels, (None, 1, 1), (3, None, None)]
+
+
+DOCS = "doc_id long, text string, lang string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_audit(spark):
+    rows, labels = some_documents(5)
+    extra = "mask int, part string, n int, digest int, key string, known int, good int"
+    docs = spark.createDataFrame([(*r, 7, "x", 1, 2, "y", 3, 4) for r in rows], f"{DOCS}, {extra}")
+    graded = spark.createDataFrame([(*r, 1, "z") for r in labels], f"{LABELS}, n int, key string")
+    found = filter_audit(docs.repartition(5), graded)
+    assert tuples(found) == brute_audit(rows, labels)
+    assert found.columns[:3] == ["part", "filter_order", "step"] and len(found.columns) == 10
+
+
+def test_audit_of_few_texts_with_very_many_rows(spark):
+    """Most rows hold one text, under one id, under many, or under none."""
+    rows = [(1, "same", "en")] * 700 + [(None, "same", "en")] * 300 + [(k, "same", "de") for k in range(500)]
+    labels = [(1, 1, 0), (4, 0, 1)]
+    found = filter_audit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS))
+    assert tuples(found) == brute_audit(rows, labels)
+
+
+def test_audit_of_empty_tables(spark):
+    rows, _ = some_documents(6)
+    docs, none = spark.createDataFrame(rows, DOCS), spark.createDataFrame([], LABELS)
+    assert tuples(filter_audit(docs, none)) == brute_audit(rows, [])
+    assert filter_audit(docs.limit(0), none).count() == 0
+    unlabelled = filter_audit(docs, none).agg(F.max("good_lost"), F.max("toxic_lost")).first()
+    assert tuple(unlabelled) == (0, 0)
