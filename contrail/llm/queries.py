@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from contrail.llm import embedding_dedup, html_text, mixing, packing, pii, quality_classifier, toxicity
 from contrail.llm.common import held_out, table
 from contrail.llm.filter_audit import filter_audit
+from contrail.llm.license_scan import license_scan
 from contrail.llm.lm_scoring import lm_score
 from contrail.llm.near_dedup import near_duplicates
 from contrail.llm.oracles import FILTER_AUDIT, LENGTH_BUCKETS, PREFIX_TRIE, RAKING
@@ -85,6 +86,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select("doc_id", "licenses.*")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return filter_audit(docs, table(spark, sf_dir, "labels"))
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op9_lattice": op9_lattice,
     "op10_graded_quality": op10_graded_quality,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_license_rules": op12_license_rules,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {
