@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import insort
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -19,7 +20,7 @@ UNSEEN = frozenset(
 )
 # Parts of a drawing that are not drawn where they stand.
 UNDRAWN = frozenset("desc defs metadata symbol clippath mask pattern marker".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre plaintext xmp ul ol dl table figure hr".split())
 BLOCKS = SPACED | frozenset(
     "html body div section article aside header footer main nav address form fieldset figcaption "
     "li dt dd details summary legend center tr caption thead tbody tfoot".split()
@@ -46,8 +47,13 @@ ENDS = {
     "input": ({"select"}, set()),
 }
 _SCOPE = {"table", "td", "th", "caption", "html", "body"}
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_HIDING = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+# Limits of the layout: a cell that is wider takes no part in the width of its column, a table whose
+# blanks would be so many times its text is not aligned, and spans are clamped as browsers do.
+WIDEST, MOST_BLANKS, MOST_COLUMNS, MOST_ROWS = 120, 8, 1000, 65_534
 _SPACE = re.compile(r"[ \t\n\f\r]+")
+_VERBATIM = ("pre", "textarea", "plaintext", "xmp")
 
 
 class Node:
@@ -60,6 +66,8 @@ class Node:
 class TreeBuilder(HTMLParser):
     """Builds a tree from any markup: missing end tags are implied, stray ones ignored."""
 
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "plaintext", "xmp")
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
@@ -86,10 +94,26 @@ class TreeBuilder(HTMLParser):
         if self.open[-1].tag == "head":
             self._close_from(len(self.open) - 1)
 
+    def close(self):
+        super().close()
+        if self.cdata_elem in ("plaintext", "xmp"):
+            self.handle_data(self.rawdata)  # shown to the end of the page
+
+    def parse_marked_section(self, i, report=1):
+        """``<![...`` is a comment up to the next ``>``, and text in a drawing or formula if CDATA."""
+        if self.rawdata.startswith("<![CDATA[", i) and (self.depth["svg"] or self.depth["math"]):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                self.handle_data(self.rawdata[i + 9 : end])
+                return end + 3
+        return self.parse_bogus_comment(i)
+
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             self.root.attrs |= {k: v or "" for k, v in attrs}
             return
+        if self.open[-1].tag == "title" and not self.depth["svg"]:
+            self._close_from(len(self.open) - 1)  # a title that was never ended
         if tag not in IN_HEAD:
             self._end_head()
         if tag in BLOCKS:
@@ -128,14 +152,29 @@ class TreeBuilder(HTMLParser):
 
 
 def hidden(node: Node) -> bool:
+    """Whether an element is not displayed, with all that it holds."""
     return (
         node.tag in UNSEEN
         or "hidden" in node.attrs
+        or (node.tag == "dialog" and "open" not in node.attrs)
         or (node.tag == "input" and node.attrs.get("type", "").lower() == "hidden")
         or bool(_HIDING.search(node.attrs.get("style", "")))
     )
 
 
+def visibility(node: Node, inherited: bool) -> bool:
+    """Unlike display, visibility is inherited and can be switched on again inside."""
+    said = _VISIBILITY.findall(node.attrs.get("style", ""))
+    return said[-1].lower() == "visible" if said else inherited
+
+
+def shown_children(node: Node) -> list:
+    """Of closed details only the first summary is shown."""
+    if node.tag != "details" or "open" in node.attrs:
+        return node.children
+    return [c for c in node.children if not isinstance(c, str) and c.tag == "summary"][:1]
+
+
 class Flow:
     """Lines of one block context: the page or a table cell."""
 
@@ -169,43 +208,85 @@ class Flow:
             self.lines.append(self.line.rstrip())
         self.line, self.space = "", False
 
+    def line_break(self) -> None:
+        """Ends the line; an empty one stays as a blank line."""
+        if self.line.strip() or not self.lines:
+            self.flush()
+        elif not self.gap:
+            self.flush(keep_empty=True)
+
     def block(self, spaced: bool) -> None:
         self.flush()
         self.gap |= spaced
 
     def done(self) -> list[str]:
         self.flush()
+        while self.lines and not self.lines[-1]:
+            self.lines.pop()
         return self.lines
 
 
 class Table:
+    """Rows of cells, each with its column. ``taken``: columns that cells of rows above hold, as
+    first column, end and the number of the last row."""
+
     def __init__(self):
-        self.rows: list[list[list[str]]] = []
+        self.rows: list[list[tuple[int, list[str]]]] = []
+        self.taken: list[tuple[int, int, int]] = []
+        self.next = 0
+
+    def row(self) -> None:
+        self.rows.append([])
+        self.next = 0
+        self.taken = [t for t in self.taken if t[2] >= len(self.rows) - 1]
 
-    def cell(self, lines: list[str], span: int) -> None:
+    def cell(self, lines: list[str], columns: int, rows: int) -> None:
         if not self.rows:
-            self.rows.append([])
-        self.rows[-1] += [lines, *[[""]] * (span - 1)]
+            self.row()
+        at = len(self.rows) - 1
+        for first, end, last in self.taken:
+            if first <= self.next < end and last >= at:
+                self.next = end
+        self.rows[-1].append((self.next, lines))
+        if rows > 1 and self.next < MOST_COLUMNS:
+            insort(self.taken, (self.next, self.next + columns, at + rows - 1))
+        self.next += columns
 
     def lines(self) -> list[str]:
         """Columns as wide as their widest line and two blanks apart; tall cells take more lines."""
-        rows = [r for r in self.rows if any(any(c) for c in r)]
-        widths: list[int] = []
+        rows = [r for r in self.rows if any(any(c) for _, c in r)]
+        widths: dict[int, int] = {}
         for row in rows:
-            for k, cell in enumerate(row):
-                width = max(map(len, cell), default=0)
-                widths[k:] = [max(width, widths[k])] + widths[k + 1 :] if k < len(widths) else [width]
-        out = []
+            for column, cell in row:
+                width = max((len(line) for line in cell if len(line) <= WIDEST), default=0)
+                widths[column] = max(width, widths.get(column, 0))
+        starts, at = {}, 0
+        for column in sorted(widths):
+            starts[column] = at
+            at += widths[column] + 2 if widths[column] else 0
+        text = sum(len(line) + 2 for row in rows for _, cell in row for line in cell)
+        room = sum(starts[row[-1][0]] * max(len(c) for _, c in row) for row in rows)
+        aligned, out = room <= MOST_BLANKS * text, []
         for row in rows:
-            for y in range(max(len(c) for c in row)):
-                cells = [c[y] if y < len(c) else "" for c in row]
-                out.append("  ".join(f"{c:<{w}}" for c, w in zip(cells, widths)).rstrip())
+            for y in range(max(len(c) for _, c in row)):
+                line = ""
+                for column, cell in row:
+                    if y < len(cell) and cell[y]:
+                        line = line.ljust(starts[column]) if aligned else line
+                        # Where a wide cell reaches into the column, two blanks divide them.
+                        gap = "" if not line or line.endswith("  ") else "  "
+                        line += gap + cell[y]
+                out.append(line.rstrip())
         return out
 
 
-def _span(node: Node) -> int:
-    value = node.attrs.get("colspan", "")
-    return min(int(value), 100) if value.isdecimal() and len(value) < 5 and int(value) else 1
+def _span(node: Node, name: str, most: int, zero: int) -> int:
+    """A span as browsers read it: digits at the beginning, 1 if there are none, clamped."""
+    digits = re.match(r"[ \t\n\f\r]*\+?([0-9]+)", node.attrs.get(name, ""))
+    if not digits:
+        return 1
+    value = digits[1].lstrip("0")
+    return min(int(value[:6]), most) if value else zero
 
 
 def _content(root: Node) -> str:
@@ -240,13 +321,14 @@ def _options(select: Node) -> tuple[list[Node], bool]:
 
 def render(root: Node) -> str:
     """The visible text of a tree. Walks with a list of its own, so no depth of nesting is too much."""
-    flows, tables, lists, pre, drawn = [Flow()], [], [], 0, 0
+    flows, tables, lists, pre, drawn, seen = [Flow()], [], [], 0, 0, [True]
     todo: list[tuple[str, object]] = [("in", root)]
     while todo:
         step, node = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            flow.verbatim(node) if pre else flow.text(node)
+            if seen[-1]:
+                flow.verbatim(node) if pre else flow.text(node)
             continue
         tag = node.tag
         if step == "in":
@@ -254,20 +336,20 @@ def render(root: Node) -> str:
                 continue
             if tag == "select":
                 options, listed = _options(node)
-                for option in options:
+                for option in options if visibility(node, seen[-1]) else ():
                     flow.block(False) if listed else flow.text(" ")
                     flow.text(option.attrs.get("label") or _content(option))
                 flow.block(False) if listed else flow.text(" ")
                 continue
             if tag == "br":
-                flow.flush(keep_empty=False)
+                flow.line_break()
             elif tag == "hr":
                 flow.block(True)
             elif tag == "table":
                 flow.block(True)
                 tables.append(Table())
             elif tag == "tr" and tables:
-                tables[-1].rows.append([])
+                tables[-1].row()
             elif tag in ("td", "th") and tables:
                 flows.append(Flow())
             elif tag in ("ul", "ol", "menu"):
@@ -278,22 +360,27 @@ def render(root: Node) -> str:
                 flow.block(False)
                 depth = max(len(lists) - 1, 0)
                 number = lists[-1] if lists else None
-                flow.line = "  " * depth + ("- " if number is None else f"{number}. ")
+                if visibility(node, seen[-1]):
+                    flow.line = "  " * depth + ("- " if number is None else f"{number}. ")
                 if number is not None:
                     lists[-1] += 1
             elif tag in BLOCKS:
                 flow.block(tag in SPACED)
             elif tag == "textarea" or (drawn and tag == "text"):
                 flow.block(False)
-            pre += tag in ("pre", "textarea")
+            pre += tag in _VERBATIM
             drawn += tag == "svg"
+            seen.append(visibility(node, seen[-1]))
             todo.append(("out", node))
-            todo += [("in", child) for child in reversed(node.children)]
+            todo += [("in", child) for child in reversed(shown_children(node))]
             continue
-        pre -= tag in ("pre", "textarea")
+        seen.pop()
+        pre -= tag in _VERBATIM
         drawn -= tag == "svg"
         if tag in ("td", "th") and tables and len(flows) > 1:
-            tables[-1].cell(flows.pop().done() or [""], _span(node))
+            columns = _span(node, "colspan", MOST_COLUMNS, 1)
+            rows = _span(node, "rowspan", MOST_ROWS, MOST_ROWS)
+            tables[-1].cell(flows.pop().done() or [""], columns, rows)
         elif tag == "table" and tables:
             for line in tables.pop().lines():
                 flow.line = line
@@ -313,7 +400,9 @@ def visible_text(html: str | None) -> str:
     """All visible text of a page, whole: blocks on lines of their own, blank lines around paragraphs
     and headings, list marks, tables in aligned columns. Formulas, the text of drawings and of text
     areas, and the options that a select shows are part of it. Null and empty pages give an empty text;
-    markup of any kind, broken or deeply nested, gives some text and never an error."""
+    markup of any kind, broken or deeply nested, gives some text and never an error. Very long pages
+    cost time and memory in proportion to their length: a table is aligned only if that takes at most
+    ``MOST_BLANKS`` times its text."""
     builder = TreeBuilder()
     builder.feed(html or "")
     builder.close()
@@ -321,7 +410,8 @@ def visible_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` with a text column ``visible`` (a longer name if there is one), in one pass."""
+    """``pages`` with a text column ``visible`` (a longer name if there is one), in one pass. Repeated
+    rows and null ids are rendered like others; an empty table gives an empty result."""
     small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")

@@ -257,6 +257,18 @@ def test_ordered_thresholds_and_grades():
         ("x &amp; &lt;y&gt; &eacute;", "x & <y> é"),
         ("</div></p><td>stray</b>", "stray"),
         ("<div>" * 30_000 + "deep", "deep"),
+        ("<![foo[bar]]>x", "x"),
+        ("<svg><text><![CDATA[a<b]]></text></svg>", "a<b"),
+        ("<head><title>T<p>Hello", "Hello"),
+        ("a<plaintext>b <i>c</i> &amp;", "a\n\nb <i>c</i> &amp;"),
+        ("a<br><br>b<br>", "a\n\nb"),
+        ("<p style='visibility:hidden'>a <b style='visibility: visible'>b</b> c", "b"),
+        ("<p style='display:none'>a <b style='visibility:visible;display:block'>b</b>", ""),
+        ("<dialog>a</dialog><dialog open>b</dialog>", "b"),
+        ("<details><summary>S</summary>a</details><details open><summary>T</summary>b", "S\nT\nb"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d</table>", "a  b\n   c  d"),
+        ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+        ("<table><tr><td colspan=12345>a<td>b<tr><td>c<td>d</table>", "a     b\nc  d"),
         ("<html><head><title>T</title><p>Hello", "Hello"),
         ("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> b", "a x=2 b"),
         ("<svg><title>no</title><desc>no</desc><defs/><path d=x /><text>one</text><text>two</text></svg>z", "one\ntwo\nz"),
@@ -273,3 +285,92 @@ def test_ordered_thresholds_and_grades():
 )
 def test_visible_text(html, text):
     assert visible_text(html) == text
+
+
+def naive_lines(pieces):
+    """Nested ``(tag, children)`` and text, by recursion: lines, and None where a blank line is due."""
+    out, inline = [], []
+
+    def end():
+        out.extend([" ".join(inline)] if inline else [])
+        inline.clear()
+
+    for piece in pieces:
+        if isinstance(piece, str):
+            inline.append(piece)
+        elif piece[0] == "i":
+            inline.extend(piece[1])
+        elif piece[0] != "script":
+            end()
+            tag, children = piece
+            if tag == "table":
+                cells = [[" ".join(c) for c in row] for row in children]
+                width = [max(len(r[k]) for r in cells) for k in range(len(cells[0]))]
+                inner = ["  ".join(c.ljust(w) for c, w in zip(r, width)).rstrip() for r in cells]
+            else:
+                inner = naive_lines(children)
+            out += [*inner] if tag == "div" else [None, *inner, None]
+    end()
+    return out
+
+
+def naive_text(pieces):
+    out, gap = [], False
+    for line in naive_lines(pieces):
+        if line is not None:
+            out += ["", line] if gap and out else [line]
+        gap = line is None
+    return "\n".join(out)
+
+
+def some_pieces(depth):
+    out = []
+    for _ in range(RNG.integers(1, 5)):
+        kind = RNG.choice(["text", "i", "script", "p", "div", "table"])
+        if kind == "text" or depth == 0:
+            out.append(f"w{RNG.integers(0, 10**RNG.integers(1, 6))}")
+        elif kind in ("i", "script", "p"):
+            out.append((kind, [f"x{k}" for k in range(RNG.integers(1, 4))]))
+        elif kind == "table":
+            columns = RNG.integers(1, 4)
+            cell = lambda: [f"c{k}" * RNG.integers(1, 4) for k in range(RNG.integers(1, 3))]
+            out.append((kind, [[cell() for _ in range(columns)] for _ in range(RNG.integers(1, 4))]))
+        else:
+            out.append((kind, some_pieces(depth - 1)))
+    return out
+
+
+def as_html(pieces):
+    out = []
+    for piece in pieces:
+        if isinstance(piece, str):
+            out.append(f" {piece} ")
+        elif piece[0] == "table":
+            rows = ["<tr>" + "".join(f"<td>{' '.join(c)}" for c in row) for row in piece[1]]
+            out.append(f"<table>{''.join(rows)}</table>")
+        else:
+            out.append(f"<{piece[0]}>{as_html(piece[1])}</{piece[0]}>")
+    return "".join(out)
+
+
+def test_visible_text_of_plain_trees_against_a_naive_renderer():
+    for _ in range(400):
+        pieces = some_pieces(3)
+        assert visible_text(as_html(pieces)) == naive_text(pieces), as_html(pieces)
+
+
+def test_no_markup_is_an_error_or_grows_without_bound():
+    parts = [*"<>![]-/?=&;'\" \n", "a", "&#xD800;", "<!", "</", "<![", "<?", "]]>", "-->", "<!--", "colspan=9999", "rowspan=0"]
+    tags = "p b table tr td th title head body svg text math select option textarea pre br li ol details dialog plaintext xmp script"
+    parts += [f"<{t}>" for t in tags.split()] + [f"</{t}>" for t in tags.split()] + ["<td colspan=1000 rowspan=70000>"]
+    for _ in range(4000):
+        page = "".join(RNG.choice(parts, RNG.integers(1, 60)))
+        assert len(visible_text(page)) <= 40 * len(page) + 100, page
+
+
+def test_a_wide_table_is_not_padded_without_bound():
+    wide = "<table><tr><td>" + "x" * 3000 + "<tr>" + "<td>" + "y" * 120 + "<tr><td>a<td>b" * 8000 + "</table>"
+    spans = "<table><tr>" + f"<td>{'x' * 100}" * 900 + "<tr><td colspan=100000>b<td>y" * 8000 + "</table>"
+    for page in (wide, spans):
+        text = visible_text(page)
+        assert text.count("\n") >= 8000 and len(text) <= 10 * len(page)
