@@ -13,11 +13,12 @@ _BITS = 2**31
 
 
 def labelled_sample(docs: DataFrame, grades: DataFrame, bound: int, seed: int = 7) -> DataFrame:
-    """About ``bound`` documents at most, with their ``grade``.
+    """About ``bound`` documents at most, with their ``doc_id``, ``text`` and ``grade``.
 
     ``grades`` holds ``doc_id`` and an integer ``grade``. Null ids and grades are left out, and of
     several grades for an id the largest counts. The ids are drawn by hash before the texts are
-    read, so only ids (bounded) are broadcast and no text is shuffled.
+    read, so only ids (bounded) are broadcast and only texts of the sample are shuffled. Of several
+    rows of an id one is taken, by the hash of its text, so no id can fill the sample.
     """
     known = (
         grades.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull())
@@ -27,7 +28,9 @@ def labelled_sample(docs: DataFrame, grades: DataFrame, bound: int, seed: int =
     total = known.count()
     share = min(1.0, bound / max(total, 1))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(_BITS))
-    return docs.join(F.broadcast(known.filter(draw < int(share * _BITS))), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(known.filter(draw < int(share * _BITS))), "doc_id")
+    one = F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    return found.groupBy("doc_id", "grade").agg(one.alias("text")).select("doc_id", "text", "grade")
 
 
 def fit_in_one_task(

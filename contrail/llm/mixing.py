@@ -152,19 +152,20 @@ def mix(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     raked = rake(cells, settings)
     factor = rate(raked, settings)
     weight = F.col("weight") / F.col("tokens")
+    raked_cell, raked_weight, probability = (fresh(marked, n) for n in ("raked_cell", "raked_weight", "probability"))
     side = raked.select(
-        F.struct(*MARGINS).alias("raked_cell"),
-        weight.alias("raked_weight"),
-        F.least(weight * factor, F.lit(1.0)).alias("raked_probability"),
+        F.struct(*MARGINS).alias(raked_cell),
+        weight.alias(raked_weight),
+        F.least(weight * factor, F.lit(1.0)).alias(probability),
     )
-    same = F.struct(*[F.col(f"{cell}.{m}").alias(m) for m in MARGINS]) == F.col("raked_cell")
+    same = F.struct(*[F.col(f"{cell}.{m}").alias(m) for m in MARGINS]) == F.col(raked_cell)
     draw = uniform(F.col("doc_id"), F.col("text"), settings.seed)
     return marked.join(side, same).select(
         *docs.columns,
         F.struct(
             *[F.col(f"{cell}.{m}").alias(m) for m in (*MARGINS, "tokens")],
-            F.col("raked_weight").alias("weight"),
-            F.col("raked_probability").alias("probability"),
-            (draw < F.col("raked_probability")).alias("sampled"),
+            F.col(raked_weight).alias("weight"),
+            F.col(probability).alias("probability"),
+            (draw < F.col(probability)).alias("sampled"),
         ).alias(out),
     )

@@ -7,6 +7,7 @@ shingle sets of both texts. What the neighbours leave apart in a large region is
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -339,17 +340,15 @@ def remainder(classes: DataFrame, found: DataFrame, docs: DataFrame, settings: S
     return rows.groupBy("tree", "prefix", "low", "high").applyInPandas(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per row of ``docs`` (integer ``doc_id``, ``text``): ``doc_id``, ``n_shingles``,
-    ``component_id`` (least id reachable) and ``kept`` (the id is that of its component).
+def groups(docs: DataFrame, carry: Sequence[str] = (), settings: Settings = Settings()) -> DataFrame:
+    """One row per row of ``docs`` (integer ``doc_id``, ``text``): ``doc_id``, the columns ``carry``,
+    ``n`` (shingles), ``group`` (a number of the rows that links connect) and ``component_id`` (least
+    id of the group). Rows without a shingle or an id have no group.
 
-    Null and empty texts, and those of white space alone, have no shingle and link with nothing. A
-    row with a null id links with nothing either: its component is null and it is kept. Rows that
-    repeat an id and a text are in one component, and all kept if one is. Other columns are ignored,
-    whatever their names; an empty table gives an empty result.
+    Rows that repeat an id may have different texts; each row is judged by its own.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
 
     @F.pandas_udf("n long, node long, more long, sig binary")
     def signed(texts: pd.Series) -> pd.DataFrame:
@@ -359,7 +358,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
             rows.append((len(found), *fingerprint(found), signature(found).tobytes()))
         return pd.DataFrame(rows, columns=["n", "node", "more", "sig"])
 
-    rows = materialise(docs.select("doc_id", signed("text").alias("s")).select("doc_id", "s.*"), "signed")
+    rows = docs.select("doc_id", *carry, signed("text").alias("signed")).select("doc_id", *carry, "signed.*")
+    rows, docs = materialise(rows, "signed"), docs.select("doc_id", "text")
     linked = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = linked.groupBy("node", "more", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = materialise(classes.drop("more"), "classes")
@@ -390,9 +390,23 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     nodes = classes.join(found, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     least = nodes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    nodes = nodes.join(least, "component").select("node", "component_id")
+    nodes = nodes.join(least, "component").select("node", F.col("component").alias("group"), "component_id")
     alone = rows.filter((F.col("n") == 0) | F.col("doc_id").isNull())
-    together = linked.join(nodes, "node").select("doc_id", "n", "component_id")
-    together = together.union(alone.select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    together = linked.join(nodes, "node").select("doc_id", *carry, "n", "group", "component_id")
+    none = F.lit(None).cast("long").alias("group")
+    return together.union(alone.select("doc_id", *carry, "n", none, F.col("doc_id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per row of ``docs`` (integer ``doc_id``, ``text``): ``doc_id``, ``n_shingles``,
+    ``component_id`` (least id reachable) and ``kept`` (the id is that of its component).
+
+    Null and empty texts, and those of white space alone, have no shingle and link with nothing. A
+    row with a null id links with nothing either: its component is null and it is kept. Rows that
+    repeat an id and a text are in one component, and all kept if one is. Other columns are ignored,
+    whatever their names; an empty table gives an empty result. Very long texts cost memory in the
+    task that makes or compares their shingles.
+    """
+    found = groups(docs.select("doc_id", "text"), settings=settings)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return together.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))

@@ -274,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     neutral = np.zeros(2**settings.bits, np.float32), 0.0
-    sample = labelled_sample(docs, labels, settings.sample)
+    sample = materialise(labelled_sample(docs, labels, settings.sample), "labelled")
     shares = sample.agg(F.avg("grade").alias("prior")).first()
     if shares["prior"] is None:
         return Model(*neutral, settings.bits)

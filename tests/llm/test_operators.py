@@ -311,3 +311,53 @@ def test_pipeline_stages(spark, real):
         if name != "packing":
             assert docs.columns == real.columns
     assert set(ORACLES) <= set(QUERIES)
+
+
+MADE_UP = (
+    "kept_id cell mixing raked_cell raked_weight raked_probability probability quality pii before node "
+    "group n row missing_id number digest component_id labels shard tokens tokens_ total topic"
+).split()
+
+
+def test_stages_with_every_column_name_that_they_make_up(spark, docs):
+    """Also rows without an id, repeated rows, empty and null texts, and an empty table."""
+    wide = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    wide = wide.withColumns({c: F.lit(7) for c in MADE_UP if c != "topic"})
+    for start in (wide, wide.limit(0)):
+        rows = start
+        for name, stage in corpus_pipeline.STAGES:
+            before = rows.count()
+            rows = stage(spark, rows, SF)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert rows.columns == wide.columns
+                assert rows.count() <= before
+        assert rows.count() >= 0 and "batch" in rows.columns
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Verdicts on rows: an id with two texts, rows without an id, repeated rows."""
+    text = " ".join(f"w{k}" for k in range(100))
+    near, other, third = f"{text} end", " ".join(f"o{k}" for k in range(60)), " ".join(f"t{k}" for k in range(60))
+    rows = [
+        (1, text), (5, near), (5, other), (None, other), (None, third), (None, third), (None, f"{third} end"),
+        (7, None), (8, ""), (9, "few"), (9, "few"),
+    ]
+    table = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, number int, row string")
+    kept = corpus_pipeline.one_of_each(spark, table, SF).select("doc_id", "text").collect()
+    found = Counter(map(tuple, kept))
+    of_third = [t for d, t in found.elements() if d is None]
+    assert len(of_third) == 1 and of_third[0].startswith("t0")
+    del found[None, of_third[0]]
+    assert found == Counter([(1, text), (5, other), (7, None), (8, ""), (9, "few")])
+
+
+def test_labelled_sample_is_bounded_in_rows(spark):
+    """One labelled id holds nearly all rows."""
+    from contrail.llm.labelled import labelled_sample
+
+    rows = spark.range(50_000).select(F.lit(3).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows = rows.union(spark.range(10, 300).select("id", F.lit("t")))
+    grades = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(1).alias("grade"))
+    found = labelled_sample(rows, grades, 10**6).groupBy("doc_id").count().collect()
+    assert len(found) == 291 and {r["count"] for r in found} == {1}
+    assert labelled_sample(rows, grades, 100).count() < 200
