@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import mixing, packing, pii
 from contrail.llm.common import fresh, table
-from contrail.llm.near_dedup import near_duplicates
+from contrail.llm.near_dedup import groups
 from contrail.llm.quality_rules import quality_rules
 from contrail.scratch import materialise
 
@@ -24,12 +24,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, the one of the least id. Rows that repeat
-    the id and the text of a kept document go; rows without an id stay."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    found = docs.join(kept, F.col("doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    found = found.dropDuplicates(["doc_id", "text"])
-    return found.union(docs.filter(F.col("doc_id").isNull()))
+    """Keeps one row of each group of near copies, the one of the least id; a row without an id comes
+    after all others. The verdict is on rows: of two texts with one id each goes or stays by its own
+    group, and of rows that repeat an id and a text one stays. Texts without a word have no group."""
+    missing, number, digest = (fresh(docs, c) for c in ("missing_id", "number", "digest"))
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    marked = docs.withColumns(
+        {
+            missing: F.col("doc_id").isNull(),
+            digest: text,
+            # Stands for an id that is missing. It need not be unique, for rows are told by all three.
+            number: F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)),
+        }
+    )
+    row = [missing, number, digest]
+    found = groups(marked.select(F.col(number).alias("doc_id"), "text", missing, digest), [missing, digest])
+    found = materialise(found.withColumnRenamed("doc_id", number), "groups")
+    best = found.filter("`group` IS NOT NULL").groupBy("group").agg(F.min(F.struct(*row)).alias("row"))
+    kept = best.select("row.*").union(found.filter("`group` IS NULL").select(row)).distinct()
+    return marked.dropDuplicates(row).join(kept, row, "left_semi").select(docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
