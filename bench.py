@@ -103,9 +103,9 @@ def job_queries(spark: SparkSession, inputs: Inputs) -> dict[str, Callable[[], o
     publish(to_messages(inputs.trips), "parquet", {"path": topic})
     landed = inputs.path("raw")
 
-    def landing(root: str, within: str | None = None) -> None:
+    def landing(root: str, index: str | None = None, file_bytes: int | None = None) -> None:
         stream = read_topic(spark, "parquet", {"path": topic})
-        land(stream, root, inputs.path("checkpoint"), within).awaitTermination()
+        land(stream, root, inputs.path("checkpoint"), index, file_bytes).awaitTermination()
 
     landing(landed)
 
@@ -129,7 +129,8 @@ def job_queries(spark: SparkSession, inputs: Inputs) -> dict[str, Callable[[], o
         ),
         "csv_publish_stats": lambda: publish_stats(inputs.trips).collect(),
         "land": lambda: landing(inputs.path("raw")),
-        "land_drop_repeats": lambda: landing(inputs.path("raw"), "1 hour"),
+        "land_drop_repeats": lambda: landing(inputs.path("raw"), inputs.path("seen")),
+        "land_sized": lambda: landing(inputs.path("raw"), file_bytes=32_000_000),
         "lake_quarter": lambda: execute(
             feature_table(
                 read_raw(spark, landed, quarter="Q2").transform(clean),

@@ -14,7 +14,7 @@ from contrail.settings import Settings, create_spark_session
 from contrail.sinks.topic import publish
 from contrail.sources.files import read_lookup, read_trips
 from contrail.sources.lake import read_raw
-from contrail.streaming.landing import land, read_topic
+from contrail.streaming.landing import BatchCounts, land, read_topic
 
 
 def trip_file(spark: SparkSession, settings: Settings, names_from_header: bool) -> DataFrame:
@@ -49,15 +49,20 @@ def land_job(
     settings: Settings,
     fmt: str,
     options: dict,
-    repeats_within: str | None,
-    files_per_month: int | None,
+    drop_repeats: bool,
+    file_bytes: int | None,
     rows_per_batch: int | None = None,
     min_tasks: int | None = None,
-) -> None:
+) -> dict:
+    """Topic to raw lake; returns what became of the messages, over all batches."""
+    found: list[BatchCounts] = []
     source = settings.topic_source(rows_per_batch, min_tasks)
     messages = read_topic(spark, fmt, with_broker(fmt, source, options))
     folders = settings.raw_root, settings.landing_checkpoint
-    land(messages, *folders, repeats_within, files_per_month).awaitTermination()
+    index = settings.seen_root if drop_repeats else None
+    land(messages, *folders, index, file_bytes, found.append).awaitTermination()
+    names = ("messages", "unreadable", "repeats", "landed")
+    return {name: sum(getattr(counts, name) for counts in found) for name in names}
 
 
 def process_job(
@@ -84,8 +89,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     for job in (publishing, processing):
         job.add_argument("--names-from-header", action="store_true")
-    landing.add_argument("--drop-repeats-within", metavar="INTERVAL")
-    landing.add_argument("--files-per-month", type=int, help="for a backlog of many months")
+    landing.add_argument("--drop-repeats", action="store_true", help="land a trip once, whenever it is sent")
+    landing.add_argument("--file-bytes", type=int, help="text per file, for a backlog of many months")
     processing.add_argument("--source", choices=("file", "lake"), default="file")
     processing.add_argument("--tables-only", action="store_true", help="write no processed lake")
     landing.add_argument("--rows-per-batch", type=int, help="paces the reading of the broker")
@@ -110,8 +115,8 @@ def main(argv: list[str] | None = None) -> None:
             print(publish_job(trips, settings, args.format, _options(args.option)))
         elif args.job == "land":
             options = _options(args.option)
-            limits = args.drop_repeats_within, args.files_per_month, args.rows_per_batch, args.min_tasks
-            land_job(spark, settings, args.format, options, *limits)
+            limits = args.drop_repeats, args.file_bytes, args.rows_per_batch, args.min_tasks
+            print(land_job(spark, settings, args.format, options, *limits))
         elif args.source == "lake":
             trips = read_raw(spark, settings.raw_root, quarter=settings.quarter)
             process_job(spark, trips, settings, args.tables_only, not args.in_date_order)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,14 +66,16 @@ def to_messages(trips: DataFrame, ingested_at: str | None = None) -> DataFrame:
     )
 
 
-def from_messages(messages: DataFrame) -> DataFrame:
-    """Raw lake rows: a message that cannot be read keeps its text. Blanks become null again, as in the file, and year and month become ints."""
+def from_messages(messages: DataFrame, carry: Sequence[Column] = ()) -> DataFrame:
+    """Raw lake rows, and the columns ``carry``. A message that cannot be read keeps its text. Blanks
+    become null again, as in the file, and year and month become ints."""
     kept = {"columnNameOfCorruptRecord": "corrupt_value"}
     parsed = messages.select(
         F.from_json(F.col("value").cast("string"), MESSAGE_VALUE, kept).alias("value"),
         F.col("key").cast("string").alias("message_key"),
-    ).select("value.*", "message_key")
-    typed = ("year", "month", "message_key", "corrupt_value")
+        F.struct(F.lit(0).alias("none"), *carry).alias("carried"),
+    ).select("value.*", "message_key", "carried")
+    typed = ("year", "month", "message_key", "corrupt_value", "carried")
     texts = [c for c in parsed.columns if c not in typed]
     return parsed.select(
         *[F.nullif(F.col(c), F.lit("")).alias(c) for c in texts],
@@ -79,7 +83,8 @@ def from_messages(messages: DataFrame) -> DataFrame:
         "message_key",
         as_int("year").alias("year"),
         as_int("month").alias("month"),
-    )
+        "carried.*",
+    ).drop("none")
 
 
 def publish_stats(trips: DataFrame) -> DataFrame:

@@ -509,12 +509,12 @@ _LANDED = (
 )
 
 
-def _land_twice(spark: SparkSession, topic: str, within: str | None = None) -> str:
+def _land_twice(spark: SparkSession, topic: str, **options) -> str:
     """Lands, then runs again: the second run must find nothing new."""
     root, checkpoint = new_path(spark, "raw"), new_path(spark, "landing")
     for _ in range(2):
         stream = read_topic(spark, "parquet", {"path": topic})
-        land(stream, root, checkpoint, within).awaitTermination()
+        land(stream, root, checkpoint, **options).awaitTermination()
     return root
 
 
@@ -525,14 +525,38 @@ def stream_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, _land_twice(spark, topic))
 
 
-@query(_with(_RAW, _LANDED) + f"SELECT DISTINCT {', '.join(IDENTITY_COLUMNS)}, message_key FROM landed")
+# Of the rows of a trip that arrive together the least stays, by its columns as they are landed.
+_LANDED_ORDER = [c for c in TRIP_COLUMNS if c not in ("year", "month")]
+_ONE_PER_TRIP = (
+    "one_per_trip AS (SELECT * FROM landed QUALIFY row_number() OVER (PARTITION BY "
+    + ", ".join((*IDENTITY_COLUMNS, "message_key"))
+    + " ORDER BY "
+    + ", ".join(f"{c} NULLS FIRST" for c in _LANDED_ORDER)
+    + ") = 1)"
+)
+
+
+@query(_with(_RAW, _LANDED, _ONE_PER_TRIP) + "SELECT * FROM one_per_trip")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message is sent twice and comes out once."""
-    topic = new_path(spark, "topic")
+    """Every message is sent three times, twice in one batch and once for a later run, which reads the
+    topic from its beginning again. Each trip comes out once, whole."""
+    topic, index = new_path(spark, "topic"), new_path(spark, "seen")
+    root = new_path(spark, "raw")
+    sent = _messages(spark, sf_dir)
+    publish(sent.union(sent).coalesce(1), "parquet", {"path": topic})
     for _ in range(2):
-        publish(_messages(spark, sf_dir), "parquet", {"path": topic})
-    rows = read_raw(spark, _land_twice(spark, topic, "1 hour"))
-    return rows.select(*IDENTITY_COLUMNS, "message_key")
+        stream = read_topic(spark, "parquet", {"path": topic})
+        land(stream, root, new_path(spark, "landing"), index).awaitTermination()
+        publish(sent, "parquet", {"path": topic})
+    return read_raw(spark, root)
+
+
+@query(_with(_RAW, _LANDED) + "SELECT * FROM landed")
+def stream_land_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months get as many files as their size calls for; no message is lost on the way."""
+    topic = new_path(spark, "topic")
+    publish(_messages(spark, sf_dir), "parquet", {"path": topic})
+    return read_raw(spark, _land_twice(spark, topic, file_bytes=4_000_000))
 
 
 @query(

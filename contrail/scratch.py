@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The paths made since each open ``temporary`` block began, innermost last.
+_blocks: list[list[str]] = []
+
 
 @cache
 def _local_folder() -> str:
@@ -26,12 +31,40 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _blocks:
+        _blocks[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder, wherever it is stored; one that is not there is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside the block are removed at its end, also after a failure. What is
+    to last must be written to a path made before."""
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            remove(spark, path)
 
 
-def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def materialise(
+    df: DataFrame, label: str, partition_by: str | None = None, path: str | None = None
+) -> DataFrame:
     """Writes ``df`` once and reads it back: later steps neither recompute it nor depend on the
     executors that made it."""
-    path = new_path(df.sparkSession, label)
+    path = path or new_path(df.sparkSession, label)
     df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -64,6 +64,11 @@ class Settings:
     def processed_root(self) -> str:
         return f"{self.lake_root}/processed"
 
+    @property
+    def seen_root(self) -> str:
+        """The identities of landed trips."""
+        return f"{self.lake_root}/seen"
+
     @property
     def landing_checkpoint(self) -> str:
         return f"{self.lake_root}/checkpoints/raw"

@@ -18,9 +18,10 @@ def read_raw(
 ) -> DataFrame:
     """Raw trips. All filters are on partition columns: other months are not even listed as input.
 
-    The schema is given, so a lake that holds no data file yet reads as empty.
+    The schema is given, so a lake that holds no data file yet reads as empty. The folders that
+    batches of a landing have within a month are not a column.
     """
-    df = spark.read.schema(RAW_LAKE).parquet(root)
+    df = spark.read.schema(RAW_LAKE).parquet(root).select(RAW_LAKE.names)
     if year is not None:
         df = df.filter(F.col("year") == year)
     if months is not None:

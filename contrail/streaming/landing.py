@@ -1,77 +1,165 @@
 """Lands topic messages in the raw lake, by year and month.
 
-Each run takes what has arrived since the last one and stops. The offsets and the file list are
-committed together by the file sink, so a run that is repeated or interrupted adds nothing twice.
+Each run takes what has arrived since the last one and stops. A batch has its own folder in every month
+that it reaches, named after the stream and the batch, and replaces it when it is run again: a run that
+is repeated or interrupted adds nothing twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from contrail.operators.messages import from_messages
-from contrail.schemas import IDENTITY_COLUMNS, MESSAGE_TOPIC
+from contrail.schemas import MESSAGE_TOPIC
+from contrail.scratch import exists, materialise, new_path, temporary
+from contrail.streaming.seen import SeenIndex, identity
 
 # Formats that bring their own ``key`` and ``value`` columns.
 _BROKER_FORMATS = ("kafka",)
+_QUERY_ID = "sql.streaming.queryId"
+BATCH = "batch"
 
 
 def read_topic(spark: SparkSession, fmt: str, options: Mapping[str, str]) -> DataFrame:
-    """Pacing is an option of the source (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``)."""
+    """``key``, ``value`` and ``arrival``, by which a message comes before another. Pacing is an option
+    of the source (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``)."""
     reader = spark.readStream.format(fmt).options(**options)
-    return (reader if fmt in _BROKER_FORMATS else reader.schema(MESSAGE_TOPIC)).load()
-
-
-def drop_repeats(rows: DataFrame, within: str, spread: int = 32) -> DataFrame:
-    """Drops repeats of a trip that arrive within ``within`` of the first one.
-
-    The watermark runs on arrival time, so no row is ever late. Repeats are dropped twice: first per
-    trip and random place, which cuts the copies of one trip to ``spread`` in as many tasks, then
-    per trip. A trip with very many copies is therefore never sent whole to one task.
-    """
-    trip = [*IDENTITY_COLUMNS, "message_key"]
-    placed = rows.withColumns(
-        {
-            "arrived_at": F.current_timestamp(),
-            # Seeded: a task that is rerun on the same input places its rows as before.
-            "place": F.floor(F.rand(seed=17) * spread),
-        }
-    ).withWatermark("arrived_at", within)
-    fewer = placed.dropDuplicatesWithinWatermark([*trip, "place"])
-    return fewer.dropDuplicatesWithinWatermark(trip).drop("arrived_at", "place")
-
-
-def gather_months(rows: DataFrame, files_per_month: int) -> DataFrame:
-    """Sends the rows of a month to at most as many tasks as it shall get files per batch.
-
-    For a backlog of many months, of which every task would otherwise write its own small files. The
-    place is random, so a month that holds most rows is spread over all of its tasks.
-    """
-    place = F.floor(F.rand(seed=29) * files_per_month)
-    return rows.withColumn("place", place).repartition("year", "month", "place").drop("place")
+    if fmt in _BROKER_FORMATS:
+        return reader.load().select("key", "value", F.struct("partition", "offset").alias("arrival"))
+    arrival = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return reader.schema(MESSAGE_TOPIC).load().select("key", "value", arrival.alias("arrival"))
+
+
+def first_of_each(rows: DataFrame) -> DataFrame:
+    """One row per trip, with its ``digest``: the one that arrived first, of those that arrived together
+    the least. Copies are reduced in the tasks that read them, however many a trip has."""
+    columns = [c for c in rows.columns if c != "arrival"]
+    whole = F.struct(F.col("arrival"), *columns)
+    least = rows.groupBy(identity().alias("digest")).agg(F.min(whole).alias("row"))
+    return least.select("digest", *[F.col(f"row.{c}").alias(c) for c in columns])
+
+
+def _text_length(rows: DataFrame) -> Column:
+    return sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in rows.columns), F.lit(1))
+
+
+def sized_by_month(rows: DataFrame, file_bytes: int) -> DataFrame:
+    """``rows`` dealt to tasks so that each gets about ``file_bytes`` of text.
+
+    The histogram of the months, laid end to end, is cut into tasks of equal size: a month that holds
+    most rows takes as many as its share, and many small months share one. So a month has at most its
+    size divided by ``file_bytes``, and two, files. ``rows`` is read twice and should be a table."""
+    spark = rows.sparkSession
+    sizes = rows.groupBy("year", "month").agg(F.sum(_text_length(rows)).alias("size"))
+    until = F.sum("size").over(Window.orderBy("year", "month"))
+    sizes = materialise(sizes.withColumn("until", until), "months")
+    total = sizes.agg(F.sum("size")).first()[0]
+    if total is None:
+        return rows
+    tasks = -(-total // file_bytes)
+    start = sizes.select(
+        F.col("year").alias("of_year"), F.col("month").alias("of_month"), (F.col("until") - F.col("size")).alias("start"), "size"
+    )
+    same = F.col("year").eqNullSafe(F.col("of_year")) & F.col("month").eqNullSafe(F.col("of_month"))
+    # Seeded, over a written table: a task that is rerun deals its rows as before.
+    place = F.floor((F.col("start") + F.rand(seed=29) * F.col("size")) / file_bytes)
+    placed = rows.join(start, same).withColumn("task", F.least(place, F.lit(tasks - 1)).cast("int"))
+    return placed.repartitionById(int(tasks), "task").select(rows.columns)
+
+
+@dataclass(frozen=True)
+class BatchCounts:
+    """What became of the messages of a batch."""
+
+    batch: int
+    messages: int
+    unreadable: int
+    repeats: int
+    landed: int
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Lands one batch after the other. ``index``: where to remember trips; a trip that any batch has
+    brought is dropped. ``file_bytes``: about how much text a file gets; without it every task writes
+    what it has read, which suits a month at a time."""
+
+    spark: SparkSession
+    root: str
+    index: str | None = None
+    file_bytes: int | None = None
+    report: Callable[[BatchCounts], None] = lambda counts: None
+
+    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        stream = messages.sparkSession.sparkContext.getLocalProperty(_QUERY_ID) or "batch"
+        label = f"{stream}-{batch_id}"
+        arrival = F.col("arrival") if "arrival" in messages.columns else F.lit("").alias("arrival")
+        read = Observation()
+        rows = from_messages(messages, [arrival]).observe(
+            read, F.count(F.lit(1)).alias("rows"), F.count("corrupt_value").alias("unreadable")
+        )
+        if self.index is None and self.file_bytes is None:
+            landed = self._write(rows.drop("arrival"), label)
+        else:
+            with temporary(self.spark):
+                landed = self._stage(rows, label)
+        found = read.get
+        repeats = 0 if self.index is None else found["rows"] - landed
+        self.report(BatchCounts(batch_id, found["rows"], found["unreadable"], repeats, landed))
+
+    def _stage(self, rows: DataFrame, label: str) -> int:
+        """Lands through a table of the batch, which the steps that follow read. Their session plans
+        adaptively, which the stream's may not."""
+        rows = rows.drop("arrival") if self.index is None else first_of_each(rows)
+        path = new_path(self.spark, "landing")
+        materialise(rows, "landing", path=path)
+        fresh = self.spark.read.schema(rows.schema).parquet(path)
+        index = None if self.index is None else SeenIndex(self.spark, self.index)
+        if index is not None:
+            seen = index.seen(fresh, fresh.count(), label)
+            if seen is not None:
+                fresh = materialise(fresh.join(seen, "digest", "left_anti"), "fresh")
+        trips = fresh.drop("digest")
+        landed = self._write(trips if self.file_bytes is None else sized_by_month(trips, self.file_bytes), label)
+        if index is not None:
+            index.extend(fresh, landed, label)
+        return landed
+
+    def _write(self, rows: DataFrame, label: str) -> int:
+        """Replaces the folders of this batch, so a second attempt leaves no row of the first."""
+        landed = Observation()
+        (
+            rows.withColumn(BATCH, F.lit(label))
+            .observe(landed, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("year", "month", BATCH)
+            .parquet(self.root)
+        )
+        return landed.get["rows"]
 
 
 def land(
     messages: DataFrame,
     root: str,
     checkpoint: str,
-    repeats_within: str | None = None,
-    files_per_month: int | None = None,
+    index: str | None = None,
+    file_bytes: int | None = None,
+    report: Callable[[BatchCounts], None] = lambda counts: None,
 ) -> StreamingQuery:
-    rows = from_messages(messages)
-    if repeats_within is not None:
-        rows = drop_repeats(rows, repeats_within)
-    if files_per_month is not None:
-        rows = gather_months(rows, files_per_month)
+    """Lands what has arrived; see :class:`Landing`. ``report`` gets the counts of every batch."""
+    spark = messages.sparkSession
+    if exists(spark, f"{root}/_spark_metadata"):
+        raise ValueError(f"{root} is kept by a file sink, whose readers see only the files in its log")
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy("year", "month")
-        .option("path", root)
+        messages.writeStream.foreachBatch(Landing(spark, root, index, file_bytes, report))
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
