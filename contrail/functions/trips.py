@@ -29,8 +29,8 @@ def is_delayed() -> Column:
     return (F.col("arrival_delay") > DELAY_THRESHOLD_MIN).cast("int")
 
 
-def quarter_label() -> Column:
-    month = F.col("month")
+def quarter_label(month: Column | None = None) -> Column:
+    month = F.col("month") if month is None else month
     label = F.when(month.between(1, 3), "Q1").when(month.between(4, 6), "Q2")
     return label.when(month.between(7, 9), "Q3").otherwise("Q4")
 

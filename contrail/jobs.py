@@ -11,6 +11,7 @@ from contrail.operators.audit import counted
 from contrail.operators.messages import to_messages
 from contrail.plans.batch import run
 from contrail.settings import Settings, create_spark_session
+from contrail.sinks.lake import remove_old_versions
 from contrail.sinks.topic import publish
 from contrail.sources.files import read_lookup, read_trips
 from contrail.sources.lake import read_raw
@@ -66,7 +67,12 @@ def land_job(
 
 
 def process_job(
-    spark: SparkSession, trips: DataFrame, settings: Settings, tables_only: bool, compact: bool
+    spark: SparkSession,
+    trips: DataFrame,
+    settings: Settings,
+    tables_only: bool,
+    compact: bool,
+    from_lake: bool = False,
 ) -> None:
     run(
         spark,
@@ -77,7 +83,10 @@ def process_job(
         None if tables_only else settings.processed_root,
         settings.quarter,
         compact=compact,
+        from_lake=from_lake,
     )
+    if not tables_only:
+        remove_old_versions(spark, settings.processed_root)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -119,7 +128,7 @@ def main(argv: list[str] | None = None) -> None:
             print(land_job(spark, settings, args.format, options, *limits))
         elif args.source == "lake":
             trips = read_raw(spark, settings.raw_root, quarter=settings.quarter)
-            process_job(spark, trips, settings, args.tables_only, not args.in_date_order)
+            process_job(spark, trips, settings, args.tables_only, not args.in_date_order, from_lake=True)
         else:
             trips = trip_file(spark, settings, args.names_from_header)
             process_job(spark, trips, settings, args.tables_only, not args.in_date_order)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +21,15 @@ def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def observed(seen: Observation) -> dict:
+    """What a job has observed. Nothing, if its planner proved some later step empty and dropped the
+    steps before it."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def audit_record(
     spark: SparkSession,
     run_id: str,

@@ -5,18 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from contrail.operators.audit import audit_record
+from contrail.operators.audit import audit_record, counted, observed
 from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import add_departure_hour, engineer_features
 from contrail.plans.feature_tables import feature_groups
-from contrail.sinks.lake import covered, write_processed
-from contrail.sinks.store import FeatureStore, load_table, lookup_features
+from contrail.sinks.lake import Coverage, covered, publish, read_version, write_version
+from contrail.sinks.store import FeatureStore, load_table
 
 RUN_LOG = "pipeline_runs"
 
@@ -31,12 +32,14 @@ class Stage:
 
 @dataclass(frozen=True)
 class RunLog:
-    """Appends one record per stage, also when the stage fails."""
+    """A record per stage, also of one that fails. Records are appended together: at the end of the run
+    or after a failure, and whenever :meth:`flush` is called."""
 
     spark: SparkSession
     store: FeatureStore
     run_id: str
     quarter: str | None
+    waiting: list[DataFrame] = field(default_factory=list)
 
     @contextmanager
     def stage(self, name: str) -> Iterator[Stage]:
@@ -44,21 +47,35 @@ class RunLog:
         try:
             yield stage
         except Exception as error:
+            self._add(name, "FAILED", stage, started, str(error))
             try:
-                self._append(name, "FAILED", stage, started, str(error))
+                self.flush()
             except Exception as second:  # the error of the stage is the one to raise
                 error.add_note(f"the failure could not be logged: {second}")
             raise
-        self._append(name, "SUCCESS", stage, started, None)
+        self._add(name, "SUCCESS", stage, started, None)
 
-    def _append(
+    def add(self, name: str, started: datetime, records_in: int, records_out: int) -> None:
+        """A stage that ran inside the job of another."""
+        stage = Stage()
+        stage.records_in, stage.records_out = records_in, records_out
+        self._add(name, "SUCCESS", stage, started, None)
+
+    def _add(
         self, name: str, status: str, stage: Stage, started: datetime, error: str | None
     ) -> None:
-        record = audit_record(
-            self.spark, self.run_id, name, status, self.quarter, stage.records_in,
-            stage.records_out, started, datetime.now(UTC), error,
+        self.waiting.append(
+            audit_record(
+                self.spark, self.run_id, name, status, self.quarter, stage.records_in,
+                stage.records_out, started, datetime.now(UTC), error,
+            )
         )
-        self.store.append(RUN_LOG, record)
+
+    def flush(self) -> None:
+        """In order, in one task; a flush that fails may be tried again."""
+        if self.waiting:
+            self.store.append(RUN_LOG, reduce(DataFrame.unionAll, self.waiting).coalesce(1))
+            self.waiting.clear()
 
 
 @dataclass(frozen=True)
@@ -68,7 +85,8 @@ class RunResult:
 
 
 def rows_seen(observation: Observation) -> int:
-    return observation.get["rows"]
+    """No count means that the planner has proven that nothing comes out."""
+    return observed(observation).get("rows", 0)
 
 
 def run(
@@ -81,15 +99,22 @@ def run(
     quarter: str | None = None,
     processed_at: datetime | None = None,
     compact: bool = True,
+    from_lake: bool = False,
 ) -> RunResult:
-    """Jobs: one over the lookups, one over the dates of the raw trips, one that reads them and
-    writes the processed lake, one that groups the trips, and the small writes of tables and log.
-    ``compact`` may be off for raw input in date order (see :func:`write_processed`).
+    """Jobs: one over the lookups, one that reads the raw trips and writes the processed lake, one that
+    groups the trips, and the small writes of tables and log. ``compact`` may be off for raw input in
+    date order (see :func:`write_version`).
+
+    A run replaces what its input covers: a quarter whose trips have all gone is emptied. Raw text is
+    read and parsed once; its rows, clean rows and covered quarters are observed on the way. With
+    ``from_lake`` the raw trips lie by year and month, and what they cover is asked of these folders
+    and of the file footers first, so that filters reach the scan.
 
-    A run replaces what its input covers: a quarter whose trips have all gone is emptied.
+    Observed counts are exact but for executors that are lost between a map task and its readers:
+    rows that are read again are counted again. The covered quarters are a set, and stay right.
 
     The groups are read from the partitions just written, which are columnar, typed and durable:
-    the raw text is parsed once, nothing is cached, and a lost executor costs no second parse.
+    nothing is cached, and a lost executor costs no second parse. They are published before.
     Without ``processed_root`` no lake is written and the raw trips are grouped as they are read.
     """
     log = RunLog(spark, store, uuid.uuid4().hex, quarter)
@@ -99,34 +124,42 @@ def run(
         lookups = Lookups.measure(carriers, airports)
         stage.records_in = stage.records_out = lookups.rows
 
-    def cleaned(raw: DataFrame) -> DataFrame:
-        return raw.transform(clean).transform(select_quarter, quarter)
+    coverage, started = Coverage(), datetime.now(UTC)
+    watched = raw_trips if from_lake else coverage.watch(raw_trips)
+    cleaned, clean_rows = counted(watched.transform(clean).transform(select_quarter, quarter), "clean")
+
+    def coverage_of_input() -> tuple[int, set]:
+        return covered(raw_trips, quarter) if from_lake else coverage.found(raw_trips, quarter)
 
     if processed_root is None:
-        trips = cleaned(raw_trips).transform(add_departure_hour)
+        trips = cleaned.transform(add_departure_hour)
     else:
         with log.stage("process") as stage:
-            stage.records_in, touched = covered(raw_trips, quarter)
-            featured = cleaned(raw_trips).transform(enrich, lookups).transform(engineer_features)
-            written = write_processed(featured, processed_root, compact, touched)
+            featured = cleaned.transform(enrich, lookups).transform(engineer_features)
+            written = write_version(featured, processed_root, compact)
+            stage.records_in, touched = coverage_of_input()
+            publish(spark, processed_root, written, featured.schema, touched)
             stage.records_out = written.rows
-        processed = spark.read.schema(featured.schema).parquet(processed_root)
-        trips = processed.filter(written.predicate())
+        log.add("clean", started, stage.records_in, rows_seen(clean_rows))
+        log.flush()
+        trips = read_version(spark, processed_root, written, featured.schema)
 
     with log.stage("aggregate") as stage:
         groups = feature_groups(trips, lookups)
-        trip_count, row_count = groups.totals()
-        stage.records_in, stage.records_out = trip_count, row_count
+        sizes, trip_count = groups.sizes()
+        stage.records_in, stage.records_out = trip_count, sum(sizes.values())
+    if processed_root is None:
+        raw_rows, _ = coverage_of_input()
+        log.add("clean", started, raw_rows, rows_seen(clean_rows))
 
     with log.stage("load") as stage:
-        tables, sizes = groups.tables(stamp), groups.sizes()
-        stage.records_in, stored = row_count, 0
-        for name, table in tables.items():
+        stage.records_in, stored = sum(sizes.values()), 0
+        for name, table in groups.tables(stamp).items():
             with log.stage(f"load_{name}") as own:
                 own.records_in = sizes.get(name, 0)
-                load_table(name, table, store, quarter)
-                own.records_out = lookup_features(spark, store, name, quarter).count()
+                own.records_out = load_table(name, table, store, quarter)
                 stored += own.records_out
         stage.records_out = stored
 
-    return RunResult(log.run_id, tables)
+    log.flush()
+    return RunResult(log.run_id, groups.tables(stamp))

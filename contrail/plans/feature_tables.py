@@ -77,18 +77,12 @@ class FeatureGroups:
             table = _named(table, name, self.lookups)
         return table if processed_at is None else stamped(table, processed_at)
 
-    def sizes(self) -> dict[str, int]:
-        """Rows of each table that has any."""
-        return {r["feature_table"]: r["count"] for r in self.rows.groupBy("feature_table").count().collect()}
-
-    def totals(self) -> tuple[int, int]:
-        """Trips that were grouped, and rows of all tables."""
-        in_one_table = F.col("feature_table") == next(iter(self.keysets))
-        found = self.rows.agg(
-            F.coalesce(F.sum(F.when(in_one_table, F.col("trips"))), F.lit(0)).alias("trips"),
-            F.count("*").alias("rows"),
-        ).first()
-        return found["trips"], found["rows"]
+    def sizes(self) -> tuple[dict[str, int], int]:
+        """Rows of each table that has any, and the trips that were grouped, in one small job."""
+        found = self.rows.groupBy("feature_table").agg(F.count("*").alias("rows"), F.sum("trips").alias("trips"))
+        by_table = {r["feature_table"]: r for r in found.collect()}
+        first = by_table.get(next(iter(self.keysets)))
+        return {name: r["rows"] for name, r in by_table.items()}, first["trips"] if first else 0
 
 
 def feature_groups(trips: DataFrame, lookups: Lookups) -> FeatureGroups:

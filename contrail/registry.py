@@ -674,6 +674,8 @@ _GROUP_COUNTS = " + ".join(
     _ALL_RAW + f", groups AS (SELECT {_GROUP_COUNTS} AS n) "
     ", codes AS (SELECT (SELECT count(*) FROM carriers) + (SELECT count(*) FROM airports) AS n) "
     "SELECT 'lookups' AS stage, 'SUCCESS' AS status, n AS records_in, n AS records_out FROM codes "
+    "UNION ALL SELECT 'clean', 'SUCCESS', (SELECT count(*) FROM raw), "
+    "(SELECT count(*) FROM cleaned) "
     "UNION ALL SELECT 'process', 'SUCCESS', (SELECT count(*) FROM raw), "
     "(SELECT count(*) FROM enriched) "
     "UNION ALL SELECT 'aggregate', 'SUCCESS', (SELECT count(*) FROM enriched), n FROM groups "

@@ -10,6 +10,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.files import remove
+
 # The paths made since each open ``temporary`` block began, innermost last.
 _blocks: list[list[str]] = []
 
@@ -37,17 +39,6 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Removes a folder, wherever it is stored; one that is not there is fine."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Tables that are written inside the block are removed at its end, also after a failure. What is

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.functions.trips import in_quarter
 from contrail.schemas import RAW_LAKE
+from contrail.sinks.lake import current, read_paths
 
 
 def read_raw(
@@ -34,9 +38,10 @@ def read_raw(
 def read_processed(
     spark: SparkSession, root: str, year: int | None = None, quarter: str | None = None
 ) -> DataFrame:
-    df = spark.read.parquet(root)
-    if year is not None:
-        df = df.filter(F.col("year") == year)
-    if quarter is not None:
-        df = df.filter(F.col("quarter") == quarter)
-    return df
+    """Processed trips as last published. Only the folders of the asked partitions are listed, and the
+    schema is the published one. Nothing published is an error."""
+    manifest = current(spark, root)
+    if manifest is None:
+        raise ValueError(f"no processed trips have been published in {root}")
+    paths = manifest.paths(root, lambda p: (year in (None, p[0])) and (quarter in (None, p[1])))
+    return read_paths(spark, root, paths, T.StructType.fromJson(json.loads(manifest.schema)))

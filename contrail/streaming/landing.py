@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
+from contrail.files import exists, matching, remove
+from contrail.operators.audit import observed
 from contrail.operators.messages import from_messages
 from contrail.schemas import MESSAGE_TOPIC
-from contrail.scratch import exists, materialise, new_path, temporary
+from contrail.scratch import materialise, new_path, temporary
 from contrail.streaming.seen import SeenIndex, identity
 
 # Formats that bring their own ``key`` and ``value`` columns.
@@ -109,9 +111,10 @@ class Landing:
         else:
             with temporary(self.spark):
                 landed = self._stage(rows, label)
-        found = read.get
-        repeats = 0 if self.index is None else found["rows"] - landed
-        self.report(BatchCounts(batch_id, found["rows"], found["unreadable"], repeats, landed))
+        found = observed(read)
+        n = found.get("rows", 0)
+        repeats = 0 if self.index is None else n - landed
+        self.report(BatchCounts(batch_id, n, found.get("unreadable", 0), repeats, landed))
 
     def _stage(self, rows: DataFrame, label: str) -> int:
         """Lands through a table of the batch, which the steps that follow read. Their session plans
@@ -132,17 +135,19 @@ class Landing:
         return landed
 
     def _write(self, rows: DataFrame, label: str) -> int:
-        """Replaces the folders of this batch, so a second attempt leaves no row of the first."""
+        """Replaces the folders of this batch, so a second attempt leaves no row of the first. Only
+        appends to the lake, for which any committer will do."""
+        for folder in matching(self.spark, f"{self.root}/year=*/month=*/{BATCH}={label}"):
+            remove(self.spark, folder)
         landed = Observation()
         (
             rows.withColumn(BATCH, F.lit(label))
             .observe(landed, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("append")
             .partitionBy("year", "month", BATCH)
             .parquet(self.root)
         )
-        return landed.get["rows"]
+        return observed(landed).get("rows", 0)
 
 
 def land(

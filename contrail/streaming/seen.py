@@ -18,8 +18,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.files import exists
 from contrail.schemas import IDENTITY_COLUMNS
-from contrail.scratch import exists, materialise
+from contrail.scratch import materialise
 
 # Per piece of a batch's identities: one filter, one task's group.
 PIECE_ROWS = 100_000
