@@ -6,15 +6,19 @@ topic), and only numbers that sum up all cells reach the driver.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from contrail.llm.common import fresh, words_column
+from contrail.operators.audit import observed
 from contrail.scratch import materialise
 
+_LOG = logging.getLogger(__name__)
 NONE = "(none)"
 MARGINS = ("source", "lang", "topic")
 
@@ -30,8 +34,8 @@ class Settings:
     )
     targets: Mapping[str, DataFrame] = field(default_factory=dict)
     keep: float = 0.7
-    rounds: int = 12
-    cap_rounds: int = 12
+    rounds: int = 200
+    tolerance: float = 1e-9
     seed: int = 11
 
 
@@ -85,48 +89,58 @@ def _wanted(cells: DataFrame, margin: str, settings: Settings) -> DataFrame:
 
 
 def rake(cells: DataFrame, settings: Settings) -> DataFrame:
-    """Iterative proportional fitting: ``weight`` is scaled to each margin in turn.
+    """Iterative proportional fitting: ``weight`` is scaled to each margin in turn, until a round
+    changes no weight by more than ``tolerance``.
 
-    Each round ends in a written table, so the plan stays short and a lost executor costs one round.
+    Margins that contradict each other, as when a source is the only one of its language, cannot all be
+    met; then the rounds end when they come no nearer, and the error left is logged. Each round ends in
+    a written table, so the plan stays short and a lost executor costs one round. A round sends every
+    cell through three shuffles; cells are what is left of the documents after they were summed up.
     """
-    wanted = {m: materialise(_wanted(cells, m, settings), f"wanted-{m}") for m in MARGINS}
+    for m in MARGINS:
+        wanted = materialise(_wanted(cells, m, settings), f"wanted-{m}").withColumnRenamed("wanted", f"wanted_{m}")
+        cells = cells.join(wanted, m)
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(settings.rounds):
-        off = F.lit(0.0)
+    kept, before = cells.columns, None
+    for done in range(1, settings.rounds + 1):
+        seen, off = Observation(), F.lit(0.0)
         for m in MARGINS:
-            have = cells.groupBy(m).agg(F.sum("weight").alias("have"))
-            factor = F.when(F.col("have") > 0, F.col("wanted") / F.col("have")).otherwise(0.0)
-            factors = have.join(wanted[m], m).select(m, factor.alias(f"factor_{m}"))
-            cells = cells.join(factors, m).withColumn("weight", F.col("weight") * F.col(f"factor_{m}"))
+            have = F.sum("weight").over(Window.partitionBy(m))
+            factor = F.when(have > 0, F.col(f"wanted_{m}") / have).otherwise(0.0)
+            cells = cells.withColumn(f"factor_{m}", factor)
+            cells = cells.withColumn("weight", F.col("weight") * F.col(f"factor_{m}"))
             off = F.greatest(off, F.abs(F.col(f"factor_{m}") - 1))
-        cells = cells.withColumn("off", F.when(F.col("weight") > 0, off).otherwise(0.0))
-        cells = materialise(cells.select(*MARGINS, "tokens", "weight", "off"), "raked")
-        worst = cells.agg(F.max("off").alias("off")).first()["off"]
-        if worst is None or worst < 1e-9:
+        cells = cells.observe(seen, F.max(F.when(F.col("weight") > 0, off)).alias("worst"))
+        cells = materialise(cells.select(kept), "raked")
+        worst = observed(seen).get("worst")
+        if worst is None or worst < settings.tolerance:
             break
-    return cells.drop("off")
+        if done == settings.rounds or (before is not None and worst > 0.999 * before):
+            _LOG.warning("raking ended after %d rounds, a margin is off by a factor of %g", done, 1 + worst)
+            break
+        before = worst
+    return cells.select(*MARGINS, "tokens", "weight")
 
 
 def rate(cells: DataFrame, settings: Settings) -> float:
     """The factor that gives the probabilities ``min(1, rate * weight / tokens)`` an expected
     ``keep`` of all tokens. Cells that reach 1 are taken out and the rest scaled again, until no more
-    reach it; every step sends two numbers to the driver."""
+    reach it; every step takes out a cell or is the last, and sends two numbers to the driver."""
     ratio = F.col("weight") / F.col("tokens")
     total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
     found = 1.0
     capped = ratio >= float("inf")
-    for _ in range(settings.cap_rounds):
+    while True:
         full, free = cells.agg(
             F.sum(F.when(capped, F.col("tokens")).otherwise(0)),
             F.sum(F.when(capped, 0.0).otherwise(F.col("weight"))),
         ).first()
         if not free or settings.keep * total <= full:
-            break
+            return found
         following = (settings.keep * total - full) / free
         if following == found:
-            break
+            return found
         found, capped = following, ratio * following >= 1
-    return found
 
 
 def uniform(doc_id: Column, text: Column, seed: int) -> Column:

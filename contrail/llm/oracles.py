@@ -2,8 +2,8 @@
 
 _TOKENS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1"
 
-# Twelve rounds of fitting at most, fewer once no factor is off by 1e-9; then the rate at which the
-# probabilities, cut at 1, give 70 % of the tokens.
+# Rounds of fitting until no factor is off by 1e-9, or until they come no nearer; then the rate at which
+# the probabilities, cut at 1, give 70 % of the tokens.
 RAKING = rf"""
 WITH RECURSIVE counted AS (
   SELECT doc_id, coalesce(text, '') AS body, {_TOKENS} AS tokens,
@@ -38,11 +38,11 @@ WITH RECURSIVE counted AS (
     JOIN by_topic t USING (topic) CROSS JOIN total
 ), raked AS (
   SELECT 0 AS round, source, lang, topic, tokens, total, want_source, want_lang, want_topic,
-    tokens::DOUBLE AS weight, 1.0::DOUBLE AS off
+    tokens::DOUBLE AS weight, 1.0::DOUBLE AS off, NULL::DOUBLE AS before
   FROM wanted
   UNION ALL
   SELECT round + 1, source, lang, topic, tokens, total, want_source, want_lang, want_topic,
-    w2 * f3, greatest(abs(f1 - 1), abs(f2 - 1), abs(f3 - 1))
+    w2 * f3, greatest(abs(f1 - 1), abs(f2 - 1), abs(f3 - 1)), CASE WHEN round > 0 THEN worst END
   FROM (
     SELECT *, want_topic / sum(w2) OVER (PARTITION BY topic) AS f3 FROM (
       SELECT *, w1 * f2 AS w2 FROM (
@@ -56,7 +56,7 @@ WITH RECURSIVE counted AS (
       )
     )
   )
-  WHERE round < 12 AND worst >= 1e-9
+  WHERE round < 200 AND worst >= 1e-9 AND (before IS NULL OR worst <= 0.999 * before)
 ), fitted AS (
   SELECT *, weight / tokens AS ratio FROM raked WHERE round = (SELECT max(round) FROM raked)
 ), rates AS (
@@ -69,7 +69,7 @@ WITH RECURSIVE counted AS (
       sum(CASE WHEN step > 0 AND ratio * factor >= 1 THEN 0 ELSE weight END) AS free
     FROM rates CROSS JOIN fitted GROUP BY step, factor, total
   )
-  WHERE step < 12 AND free > 0 AND 0.7 * total > cut AND (0.7 * total - cut) / free <> factor
+  WHERE step < 1000 AND free > 0 AND 0.7 * total > cut AND (0.7 * total - cut) / free <> factor
 ), chosen AS (
   SELECT max_by(factor, step) AS factor FROM rates
 )
