@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(found)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    found, store = _at(spark, path)
+    return store.exists(found) and store.getFileStatus(found).isFile()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a file or folder; one that is not there is fine."""
     found, store = _at(spark, path)

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.operators.audit import counted
+from contrail.operators.audit import counted, observed
 from contrail.operators.messages import to_messages
 from contrail.plans.batch import run
 from contrail.settings import Settings, create_spark_session
@@ -16,6 +16,7 @@ from contrail.sinks.topic import publish
 from contrail.sources.files import read_lookup, read_trips
 from contrail.sources.lake import read_raw
 from contrail.streaming.landing import BatchCounts, land, read_topic
+from contrail.streaming.publishing import publish_files, read_trip_files
 
 
 def trip_file(spark: SparkSession, settings: Settings, names_from_header: bool) -> DataFrame:
@@ -35,7 +36,25 @@ def publish_job(trips: DataFrame, settings: Settings, fmt: str, options: dict) -
     trips, read = counted(trips, "read")
     messages, sent = counted(to_messages(trips), "sent")
     publish(messages, fmt, with_broker(fmt, settings.topic_sink(), options))
-    total, published = read.get["rows"], sent.get["rows"]
+    total, published = observed(read).get("rows", 0), observed(sent).get("rows", 0)
+    return {
+        "total_rows": total,
+        "published": published,
+        "skipped": total - published,
+        "start_time": started,
+        "end_time": datetime.now(UTC).replace(tzinfo=None).isoformat(),
+    }
+
+
+def publish_files_job(
+    spark: SparkSession, settings: Settings, fmt: str, options: dict, files_per_batch: int
+) -> dict:
+    """Trip files that no earlier run has sent to the topic; returns the statistics of this run."""
+    started, found = datetime.now(UTC).replace(tzinfo=None).isoformat(), []
+    trips = read_trip_files(spark, settings.trips_path, files_per_batch)
+    sink = with_broker(fmt, settings.topic_sink(), options)
+    publish_files(trips, fmt, sink, settings.publishing_checkpoint, found.append).awaitTermination()
+    total, published = (sum(getattr(s, name) for s in found) for name in ("total_rows", "published"))
     return {
         "total_rows": total,
         "published": published,
@@ -100,6 +119,9 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--names-from-header", action="store_true")
     landing.add_argument("--drop-repeats", action="store_true", help="land a trip once, whenever it is sent")
     landing.add_argument("--file-bytes", type=int, help="text per file, for a backlog of many months")
+    publishing.add_argument(
+        "--files-per-batch", type=int, help="send file by file, and only files not sent by an earlier run"
+    )
     processing.add_argument("--source", choices=("file", "lake"), default="file")
     processing.add_argument("--tables-only", action="store_true", help="write no processed lake")
     landing.add_argument("--rows-per-batch", type=int, help="paces the reading of the broker")
@@ -119,7 +141,10 @@ def main(argv: list[str] | None = None) -> None:
     settings = Settings.from_env()
     spark = create_spark_session(f"trip-features-{args.job}")
     try:
-        if args.job == "publish":
+        if args.job == "publish" and args.files_per_batch:
+            options = _options(args.option)
+            print(publish_files_job(spark, settings, args.format, options, args.files_per_batch))
+        elif args.job == "publish":
             trips = trip_file(spark, settings, args.names_from_header)
             print(publish_job(trips, settings, args.format, _options(args.option)))
         elif args.job == "land":

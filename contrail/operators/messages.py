@@ -25,13 +25,17 @@ def _present(trips: DataFrame, name: str) -> Column:
     return _text(name) if name in trips.columns else F.lit(None).cast("string")
 
 
-def publishable() -> Column:
-    """A trip is published when it has a flight number and a departure time; blank is missing."""
+def publishable(trips: DataFrame) -> Column:
+    """A trip is published when it has a flight number and a departure time; blank is missing. Input
+    that lacks one of these columns altogether has no trip to publish."""
+    needed = ("flight_number", "departure_time")
+    if not set(needed) <= set(trips.columns):
+        return F.lit(False)
     return (_text("flight_number") != "") & (_text("departure_time") != "")
 
 
 def keep_publishable(trips: DataFrame) -> DataFrame:
-    return trips.filter(publishable())
+    return trips.filter(publishable(trips))
 
 
 def message_key(trips: DataFrame) -> Column:
@@ -89,8 +93,10 @@ def from_messages(messages: DataFrame, carry: Sequence[Column] = ()) -> DataFram
 
 def publish_stats(trips: DataFrame) -> DataFrame:
     """Rows read, published and skipped, in one pass."""
-    return trips.transform(lower_names).agg(
+    trips = trips.transform(lower_names)
+    published = publishable(trips)
+    return trips.agg(
         F.count("*").alias("total_rows"),
-        F.count_if(publishable()).alias("published"),
-        F.count_if(~publishable()).alias("skipped"),
+        F.count_if(published).alias("published"),
+        F.count_if(~published).alias("skipped"),
     )

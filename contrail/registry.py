@@ -31,6 +31,7 @@ from contrail.sinks.topic import publish
 from contrail.sources.files import read_lookup, read_trips
 from contrail.sources.lake import read_processed, read_raw
 from contrail.streaming.landing import land, read_topic
+from contrail.streaming.publishing import publish_files, read_trip_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -496,6 +497,19 @@ def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(MESSAGE_TOPIC).parquet(topic)
 
 
+@query(_with(_RAW) + f"SELECT {_KEY_SQL} AS key, {_VALUE_SQL} AS value FROM raw WHERE {_PUBLISHABLE}")
+def publish_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File by file, in three runs over one ledger: half of the files, the others, and nothing new."""
+    folder, topic, ledger = (new_path(spark, label) for label in ("trips", "topic", "ledger"))
+    trips = fixture.raw_trips(spark, sf_dir)
+    second = F.pmod(F.xxhash64(*trips.columns), F.lit(2)) == 1
+    for part in (trips.filter(~second), trips.filter(second), trips.limit(0)):
+        part.write.mode("append").option("header", True).csv(folder)
+        files = read_trip_files(spark, folder, 2)
+        publish_files(files, "parquet", {"path": topic}, ledger, ingested_at=INGESTED_AT).awaitTermination()
+    return spark.read.schema(MESSAGE_TOPIC).parquet(topic)
+
+
 # Landing and lake -------------------------------------------------------------------------------
 
 _LANDED = (
@@ -698,6 +712,15 @@ def feature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_features(spark, store, "airport_features", "Q2", origin_airport="4")
 
 
+@query(_ALL + _table_sql("route_features") + " HAVING quarter = 'Q3' AND origin_airport = '7'")
+def feature_lookup_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the second index of the table, whose values its files do not lie sorted by."""
+    store = FolderStore(new_path(spark, "store"))
+    groups = feature_groups(_grouped_input(spark, sf_dir), _lookups(spark, sf_dir))
+    load_features(groups.tables(), store)
+    return lookup_features(spark, store, "route_features", "Q3", origin_airport="7")
+
+
 @query(
     _ALL + "SELECT 'raw' AS stage, (SELECT count(*) FROM trips) AS rows "
     "UNION ALL SELECT 'clean', (SELECT count(*) FROM cleaned) "

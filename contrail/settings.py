@@ -12,9 +12,6 @@ from contrail.functions.trips import QUARTER_MONTHS
 from contrail.sinks.store import FeatureStore, FolderStore, JdbcStore
 from contrail.sinks.topic import broker_options
 
-_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 @dataclass(frozen=True)
 class Settings:
     data_path: str = "data"
@@ -73,6 +70,10 @@ class Settings:
     def landing_checkpoint(self) -> str:
         return f"{self.lake_root}/checkpoints/raw"
 
+    @property
+    def publishing_checkpoint(self) -> str:
+        return f"{self.lake_root}/checkpoints/publish"
+
     def topic_sink(self) -> dict[str, str]:
         return broker_options(self.broker, self.topic)
 
@@ -103,27 +104,58 @@ class Settings:
         return JdbcStore(self.jdbc_url, {**login, "driver": self.jdbc_driver})
 
 
-def create_spark_session(
-    app_name: str = "trip-features", env: Mapping[str, str] = os.environ
-) -> SparkSession:
-    """Session for the jobs. Master, memory and partition counts are left to ``spark-submit``:
-    adaptive execution sizes the shuffles, and a fixed count would not fit every input."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        # Repeats are remembered per trip: on local disk and the checkpoint, not on the heap.
-        .config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
-    )
+# What the connectors of object stores call their committers.
+_COMMITTER = "spark.hadoop.mapreduce.outputcommitter.factory.scheme."
+_MANIFEST = "org.apache.hadoop.mapreduce.lib.output.committer.manifest.ManifestCommitterFactory"
+COMMITTERS = {
+    "s3a": {
+        f"{_COMMITTER}s3a": "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory",
+        "spark.hadoop.fs.s3a.committer.name": "magic",
+    },
+    "abfs": {f"{_COMMITTER}abfs": "org.apache.hadoop.fs.azurebfs.commit.AzureManifestCommitterFactory"},
+    "abfss": {f"{_COMMITTER}abfss": "org.apache.hadoop.fs.azurebfs.commit.AzureManifestCommitterFactory"},
+    "gs": {f"{_COMMITTER}gs": _MANIFEST},
+}
+_CLOUD_PROTOCOL = {
+    "spark.sql.sources.commitProtocolClass": "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol",
+    "spark.sql.parquet.output.committer.class": "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter",
+}
+
+
+def committer_settings(*roots: str | None) -> dict[str, str]:
+    """How files get their final names: on a file system by renaming, which needs no setting. An object
+    store has no cheap rename; there each task leaves a manifest, or an upload that is not yet completed,
+    and the job's commit makes them visible. The lake is only appended to, and published by a manifest of
+    its own, so no committer has to replace folders."""
+    schemes = {root.split("://", 1)[0].lower() for root in roots if root and "://" in root}
+    found: dict[str, str] = {}
+    for scheme in sorted(schemes & COMMITTERS.keys()):
+        found |= COMMITTERS[scheme] | _CLOUD_PROTOCOL
+    return found
+
+
+def session_settings(env: Mapping[str, str] = os.environ) -> dict[str, str]:
+    """What the jobs need, whatever the cluster. Master, memory and partition counts are left to
+    ``spark-submit``: adaptive execution sizes the shuffles, and a fixed count would not fit every
+    input."""
+    found = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
     object_store = {
         "spark.hadoop.fs.s3a.endpoint": env.get("S3_ENDPOINT"),
         "spark.hadoop.fs.s3a.access.key": env.get("S3_ACCESS_KEY"),
         "spark.hadoop.fs.s3a.secret.key": env.get("S3_SECRET_KEY"),
     }
-    if object_store["spark.hadoop.fs.s3a.endpoint"]:
-        object_store["spark.hadoop.fs.s3a.path.style.access"] = "true"
-    for key, value in object_store.items():
-        if value:
-            builder = builder.config(key, value)
-    return builder.getOrCreate()
+    found |= {key: value for key, value in object_store.items() if value}
+    if env.get("S3_ENDPOINT"):
+        found["spark.hadoop.fs.s3a.path.style.access"] = "true"
+    return found | committer_settings(env.get("LAKE_ROOT"), env.get("FEATURE_STORE_ROOT"))
+
+
+def create_spark_session(
+    app_name: str = "trip-features", env: Mapping[str, str] = os.environ
+) -> SparkSession:
+    """Session for the jobs, with :func:`session_settings`."""
+    return SparkSession.builder.appName(app_name).config(map=session_settings(env)).getOrCreate()
