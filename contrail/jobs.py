@@ -17,6 +17,7 @@ from contrail.sources.files import read_lookup, read_trips
 from contrail.sources.lake import read_raw
 from contrail.streaming.landing import BatchCounts, land, read_topic
 from contrail.streaming.publishing import publish_files, read_trip_files
+from contrail.streaming.seen import SeenIndex
 
 
 def trip_file(spark: SparkSession, settings: Settings, names_from_header: bool) -> DataFrame:
@@ -118,6 +119,7 @@ def _parser() -> argparse.ArgumentParser:
     for job in (publishing, processing):
         job.add_argument("--names-from-header", action="store_true")
     landing.add_argument("--drop-repeats", action="store_true", help="land a trip once, whenever it is sent")
+    landing.add_argument("--compact-index", action="store_true", help="only rewrite what --drop-repeats remembers")
     landing.add_argument("--file-bytes", type=int, help="text per file, for a backlog of many months")
     publishing.add_argument(
         "--files-per-batch", type=int, help="send file by file, and only files not sent by an earlier run"
@@ -147,6 +149,8 @@ def main(argv: list[str] | None = None) -> None:
         elif args.job == "publish":
             trips = trip_file(spark, settings, args.names_from_header)
             print(publish_job(trips, settings, args.format, _options(args.option)))
+        elif args.job == "land" and args.compact_index:
+            print({"trips": SeenIndex(spark, settings.seen_root).compact()})
         elif args.job == "land":
             options = _options(args.option)
             limits = args.drop_repeats, args.file_bytes, args.rows_per_batch, args.min_tasks

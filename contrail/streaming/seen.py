@@ -11,6 +11,7 @@ its own, so it does not take its first attempt's rows for repeats.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.files import exists
+from contrail.files import exists, matching, remove, write_new
 from contrail.schemas import IDENTITY_COLUMNS
 from contrail.scratch import materialise
 
@@ -77,20 +78,49 @@ class SeenIndex:
     spark: SparkSession
     root: str
 
+    def _generations(self) -> list[str]:
+        """The notes of finished rewrites, oldest first; each is named after its folder."""
+        return sorted(matching(self.spark, f"{self.root}/_generations/*"))
+
+    def _folder(self) -> str:
+        done = self._generations()
+        return f"{self.root}/{done[-1].rsplit('/', 1)[1] if done else 'first'}"
+
     def _table(self, name: str, schema: str) -> DataFrame | None:
-        path = f"{self.root}/{name}"
+        path = f"{self._folder()}/{name}"
         return self.spark.read.schema(schema).parquet(path) if exists(self.spark, path) else None
 
+    def compact(self) -> int:
+        """Rewrites the index without the many small files that batches leave; returns its identities.
+
+        Not while a landing runs. The rewrite counts once a note names it, so one that fails, or is
+        begun again, changes nothing; folders that no note names last are removed after that. Entries
+        lose the labels of their batches: a batch that failed must be landed first."""
+        known = self._table("keys", _KEYS)
+        if known is None:
+            return 0
+        before, number = self._folder(), len(self._generations()) + 1
+        folder = f"{number:06d}-{uuid.uuid4().hex}"
+        keys = materialise(known.select("year", "month", "digest").distinct(), "compact")
+        rows = keys.count()
+        self._add(keys, rows, "compacted", f"{self.root}/{folder}")
+        write_new(self.spark, f"{self.root}/_generations/{folder}", "")
+        remove(self.spark, before)
+        return rows
+
     def extend(self, keys: DataFrame, rows: int, label: str) -> None:
         """Adds identities: ``keys`` has ``year``, ``month`` and ``digest``; ``rows`` about how many.
 
         A month that holds most rows is dealt to as many groups as its pieces."""
+        self._add(keys, rows, label, self._folder())
+
+    def _add(self, keys: DataFrame, rows: int, label: str, folder: str) -> None:
         pieces = pieces_for(rows)
         keys = keys.select("year", "month", "digest").withColumns(
             {"piece": F.pmod(_draw(), F.lit(pieces)), "label": F.lit(label)}
         )
         placed = keys.repartition("year", "month", "piece").sortWithinPartitions("year", "month", "digest")
-        placed.drop("piece").write.mode("append").partitionBy("year", "month").parquet(f"{self.root}/keys")
+        placed.drop("piece").write.mode("append").partitionBy("year", "month").parquet(f"{folder}/keys")
 
         def build(group: pd.DataFrame) -> pd.DataFrame:
             first = group.iloc[:1][["year", "month", "label", "piece"]]
@@ -99,7 +129,7 @@ class SeenIndex:
             )
 
         filters = keys.groupBy("year", "month", "piece").applyInPandas(build, _FILTERS)
-        filters.write.mode("append").partitionBy("year", "month").parquet(f"{self.root}/filters")
+        filters.write.mode("append").partitionBy("year", "month").parquet(f"{folder}/filters")
 
     def seen(self, keys: DataFrame, rows: int, label: str) -> DataFrame | None:
         """The ``digest`` of those ``keys`` (``year``, ``month``, ``digest``; ``rows`` of them) that a

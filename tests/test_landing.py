@@ -172,6 +172,30 @@ def test_filters_find_all_and_pieces_nest(spark, tmp_path, monkeypatch):
     assert not may_hold(bloom([]), others).any()
 
 
+def test_a_compacted_index_knows_the_same_trips(spark, folders, tmp_path, monkeypatch):
+    """Also when a rewrite fails on its way, and when another follows."""
+    topic, root, checkpoint = folders
+    index = SeenIndex(spark, str(tmp_path / "seen"))
+    assert index.compact() == 0
+    for k in range(len(SENT)):
+        send_file(spark, topic, k)
+    land_all(spark, folders, index.root, maxFilesPerTrigger="1")
+    with monkeypatch.context() as patch:
+        patch.setattr(seen_module, "write_new", lambda *given: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.compact()
+    files = list((tmp_path / "seen" / "first" / "keys").rglob("*.parquet"))
+    for run in range(2):
+        assert index.compact() == 21
+        report = []
+        land_all(spark, (topic, root, f"{checkpoint}-{run}"), index.root, report=report)
+        assert [(c.landed, c.repeats) for c in report] == [(0, sum(map(len, SENT)) + 8)]
+    left = list((tmp_path / "seen").rglob("keys/**/*.parquet"))
+    assert not (tmp_path / "seen" / "first").exists() and len(files) > 3
+    assert len([f for f in left if f.is_file()]) <= 2 * len(files)
+    assert read_raw(spark, root).count() == 21
+
+
 def test_months_get_files_by_their_size(spark, folders):
     """Nine tenths of the rows are of one month, and messages come shuffled. Its files are bounded by
     size; the other months, null ones too, have one or two each."""
