@@ -412,20 +412,43 @@ for _name in FEATURE_TABLES:
     query(_ALL + _table_sql(_name), name=_name)(_feature_query(_name))
 
 
-_SETS = {name: table.codes for name, table in FEATURE_TABLES.items()}
-_SET_KEYS = list(dict.fromkeys(c for codes in _SETS.values() for c in codes))
-
-
-def _together_sql(name: str, codes: tuple[str, ...]) -> str:
-    keys = ", ".join(c if c in codes else f"NULL AS {c}" for c in _SET_KEYS)
-    shown = ", ".join(f"{sql} AS {m}" for m, sql in _MEASURE_SQL.items())
-    return f"SELECT '{name}' AS feature_table, {keys}, {shown} FROM cleaned GROUP BY {', '.join(codes)}"
+# What each table is grouped by, and the codes as the four SELECT lists show them.
+_TOGETHER = {
+    "airline_features": (
+        "airline, quarter",
+        "airline, quarter, NULL AS origin_airport, NULL AS destination_airport, "
+        "NULL AS scheduled_departure_hour, NULL AS day_of_week",
+    ),
+    "route_features": (
+        "origin_airport, destination_airport, quarter",
+        "NULL AS airline, quarter, origin_airport, destination_airport, "
+        "NULL AS scheduled_departure_hour, NULL AS day_of_week",
+    ),
+    "airport_features": (
+        "origin_airport, quarter",
+        "NULL AS airline, quarter, origin_airport, NULL AS destination_airport, "
+        "NULL AS scheduled_departure_hour, NULL AS day_of_week",
+    ),
+    "hourly_features": (
+        "scheduled_departure_hour, day_of_week, quarter",
+        "NULL AS airline, quarter, NULL AS origin_airport, NULL AS destination_airport, "
+        "scheduled_departure_hour, day_of_week",
+    ),
+}
+_TOGETHER_MEASURES = ", ".join(f"{sql} AS {m}" for m, sql in _MEASURE_SQL.items())
 
 
-@query(_CLEAN + " UNION ALL ".join(_together_sql(n, codes) for n, codes in _SETS.items()))
+@query(
+    _CLEAN
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS feature_table, {shown}, {_TOGETHER_MEASURES} FROM cleaned GROUP BY {keys}"
+        for name, (keys, shown) in _TOGETHER.items()
+    )
+)
 def feature_tables_together(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass plan behind the run: all four tables from one scan and one shuffle."""
-    return aggregate_together(_grouped_input(spark, sf_dir), _SETS)
+    keysets = {name: table.codes for name, table in FEATURE_TABLES.items()}
+    return aggregate_together(_grouped_input(spark, sf_dir), keysets)
 
 
 _RENAMED = (
