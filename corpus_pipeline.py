@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.files import remove
 from contrail.llm import mixing, packing, pii
 from contrail.llm.common import fresh, table
 from contrail.llm.near_dedup import groups
 from contrail.llm.quality_rules import quality_rules
-from contrail.scratch import materialise
+from contrail.scratch import materialise, new_path, temporary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,7 +80,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Every stage is written and read again. What a stage has written on its way, and the rows that
+    it started from, are removed once its result is written; only the last result stays, also after
+    a failure, which leaves that of the stage before."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        label = name.replace(" ", "-")
+        path = new_path(spark, label)
+        with temporary(spark):
+            docs = materialise(stage(spark, docs, sf_dir), label, path=path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
