@@ -373,3 +373,28 @@ def test_mixture_with_margins_that_contradict_each_other(spark, caplog):
     have = mixed.groupby("topic").tokens.sum() ** 0.8
     got = (mixed.tokens * mixed.weight).groupby(mixed.topic).sum()
     assert np.allclose(got, have / have.sum() * mixed.tokens.sum())
+
+
+def test_a_run_leaves_only_its_result(spark, monkeypatch):
+    """Tables written on the way are removed, also when a later stage fails."""
+    import os
+
+    from contrail.scratch import materialise, shared_folder
+
+    def inner(spark, docs, sf_dir):
+        return materialise(docs.filter("doc_id < 50"), "inner").filter("doc_id < 5")
+
+    def failing(spark, docs, sf_dir):
+        materialise(docs, "inner")
+        raise OSError("lost")
+
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first stage", inner), ("second", inner)])
+    assert corpus_pipeline.run(spark, SF).count() == 5
+    left = set(os.listdir(folder)) - before
+    assert [name.split("-")[0] for name in left] == ["second"]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first stage", inner), ("second", failing)])
+    with pytest.raises(OSError):
+        corpus_pipeline.run(spark, SF)
+    assert {name.split("-")[0] for name in set(os.listdir(folder)) - before - left} == {"first"}
