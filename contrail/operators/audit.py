@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -30,8 +31,7 @@ def observed(seen: Observation) -> dict:
         return {}
 
 
-def audit_record(
-    spark: SparkSession,
+def audit_row(
     run_id: str,
     stage: str,
     status: str,
@@ -41,9 +41,13 @@ def audit_record(
     started_at: datetime | None = None,
     completed_at: datetime | None = None,
     error_message: str | None = None,
-) -> DataFrame:
-    row = (
+) -> tuple:
+    return (
         run_id, quarter, stage, status, records_in, records_out,
         started_at, completed_at, error_message,
-    )
-    return spark.createDataFrame([row], RUN_AUDIT)
+    )
+
+
+def audit_records(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Log records in one partition, in order."""
+    return spark.createDataFrame(list(rows), RUN_AUDIT).coalesce(1)

@@ -7,11 +7,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from contrail.operators.audit import audit_record, counted, observed
+from contrail.operators.audit import audit_records, audit_row, counted, observed
 from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import add_departure_hour, engineer_features
@@ -39,7 +38,7 @@ class RunLog:
     store: FeatureStore
     run_id: str
     quarter: str | None
-    waiting: list[DataFrame] = field(default_factory=list)
+    waiting: list[tuple] = field(default_factory=list)
 
     @contextmanager
     def stage(self, name: str) -> Iterator[Stage]:
@@ -65,16 +64,16 @@ class RunLog:
         self, name: str, status: str, stage: Stage, started: datetime, error: str | None
     ) -> None:
         self.waiting.append(
-            audit_record(
-                self.spark, self.run_id, name, status, self.quarter, stage.records_in,
-                stage.records_out, started, datetime.now(UTC), error,
-            )
+            audit_row(
+                self.run_id, name, status, self.quarter, stage.records_in, stage.records_out,
+                started, datetime.now(UTC), error,
+            )
         )
 
     def flush(self) -> None:
         """In order, in one task; a flush that fails may be tried again."""
         if self.waiting:
-            self.store.append(RUN_LOG, reduce(DataFrame.unionAll, self.waiting).coalesce(1))
+            self.store.append(RUN_LOG, audit_records(self.spark, self.waiting))
             self.waiting.clear()
 
 
