@@ -573,6 +573,12 @@ _ONE_PER_TRIP = (
 )
 
 
+def _twice_together(sent: DataFrame) -> DataFrame:
+    """Every message twice. Equal keys share a file, as they share a topic partition, so all messages of
+    a trip arrive together; a task writes one file."""
+    return sent.repartition("key").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+
+
 @query(_with(_RAW, _LANDED, _ONE_PER_TRIP) + "SELECT * FROM one_per_trip")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message is sent three times, twice in one batch and once for a later run, which reads the
@@ -580,11 +586,11 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic, index = new_path(spark, "topic"), new_path(spark, "seen")
     root = new_path(spark, "raw")
     sent = _messages(spark, sf_dir)
-    publish(sent.union(sent).coalesce(1), "parquet", {"path": topic})
-    for _ in range(2):
+    publish(_twice_together(sent), "parquet", {"path": topic})
+    for later in (sent, sent.limit(0)):
         stream = read_topic(spark, "parquet", {"path": topic})
         land(stream, root, new_path(spark, "landing"), index).awaitTermination()
-        publish(sent, "parquet", {"path": topic})
+        publish(later, "parquet", {"path": topic})
     return read_raw(spark, root)
 
 
