@@ -19,13 +19,15 @@ from contrail.files import exists, matching, remove
 from contrail.operators.audit import observed
 from contrail.operators.messages import from_messages
 from contrail.schemas import MESSAGE_TOPIC
-from contrail.scratch import materialise, new_path, temporary
+from contrail.scratch import in_pieces, materialise, new_path, temporary
 from contrail.streaming.seen import SeenIndex, identity
 
 # Formats that bring their own ``key`` and ``value`` columns.
 _BROKER_FORMATS = ("kafka",)
 _QUERY_ID = "sql.streaming.queryId"
 BATCH = "batch"
+# A staged table is dealt to tasks in pieces of this much of its files, some ten times that in memory.
+PIECE_BYTES = 16 << 20
 
 
 def read_topic(spark: SparkSession, fmt: str, options: Mapping[str, str]) -> DataFrame:
@@ -122,7 +124,8 @@ class Landing:
         rows = rows.drop("arrival") if self.index is None else first_of_each(rows)
         path = new_path(self.spark, "landing")
         materialise(rows, "landing", path=path)
-        fresh = self.spark.read.schema(rows.schema).parquet(path)
+        reader = self.spark if self.file_bytes is None else in_pieces(self.spark, PIECE_BYTES)
+        fresh = reader.read.schema(rows.schema).parquet(path)
         index = None if self.index is None else SeenIndex(self.spark, self.index)
         if index is not None:
             seen = index.seen(fresh, fresh.count(), label)

@@ -54,3 +54,13 @@ def test_copies_are_sent_by_many_tasks_and_equal_keys_by_one(spark, conf):
     assert dealt.select("task").distinct().count() > 1
     assert dealt.groupBy("key").agg(F.countDistinct("task").alias("n")).filter("n > 1").count() == 0
     assert sorted(dealt.select("value").toPandas()["value"]) == sorted([str(i) for i in range(200)] * 2)
+
+
+def test_a_table_is_read_in_pieces(spark, tmp_path, conf):
+    conf(spark__sql__session__timeZone="Asia/Tokyo")
+    spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/t")
+    own = in_pieces(spark, 1 << 18)
+    pieces = own.read.parquet(f"{tmp_path}/t")
+    assert pieces.rdd.getNumPartitions() >= 5 and pieces.count() == 400_000
+    assert own.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != own.conf.get("spark.sql.files.maxPartitionBytes")
