@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import fixture
@@ -520,12 +520,18 @@ def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(MESSAGE_TOPIC).parquet(topic)
 
 
+def _second_half() -> Column:
+    """By columns that come straight from the fact table, so the filter runs before the joins and does
+    not make the text of a trip twice. Null columns are hashed like others."""
+    return F.pmod(F.xxhash64("AIRLINE", "FLIGHT_NUMBER", "DAY_OF_WEEK"), F.lit(2)) == 1
+
+
 @query(_with(_RAW) + f"SELECT {_KEY_SQL} AS key, {_VALUE_SQL} AS value FROM raw WHERE {_PUBLISHABLE}")
 def publish_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File by file, in three runs over one ledger: half of the files, the others, and nothing new."""
     folder, topic, ledger = (new_path(spark, label) for label in ("trips", "topic", "ledger"))
     trips = fixture.raw_trips(spark, sf_dir)
-    second = F.pmod(F.xxhash64(*trips.columns), F.lit(2)) == 1
+    second = _second_half()
     for part in (trips.filter(~second), trips.filter(second), trips.limit(0)):
         part.write.mode("append").option("header", True).csv(folder)
         files = read_trip_files(spark, folder, 2)

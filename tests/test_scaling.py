@@ -56,6 +56,16 @@ def test_copies_are_sent_by_many_tasks_and_equal_keys_by_one(spark, conf):
     assert sorted(dealt.select("value").toPandas()["value"]) == sorted([str(i) for i in range(200)] * 2)
 
 
+def test_halves_of_the_trips_are_told_before_the_joins(spark, tables):
+    trips = fixture.raw_trips(spark, tables)
+    second = registry._second_half()
+    plan = _plan(trips.filter(second), "optimizedPlan")
+    at = [i for i, line in enumerate(plan) if "xxhash64" in line]
+    assert len(at) == 1 and "Filter" in plan[at[0]] and "Relation" in plan[at[0] + 1]
+    assert 0 < trips.filter(second).count() < 40
+    assert trips.filter(second).count() + trips.filter(~second).count() == 40
+
+
 def test_a_table_is_read_in_pieces(spark, tmp_path, conf):
     conf(spark__sql__session__timeZone="Asia/Tokyo")
     spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/t")
