@@ -66,6 +66,19 @@ def test_halves_of_the_trips_are_told_before_the_joins(spark, tables):
     assert trips.filter(second).count() + trips.filter(~second).count() == 40
 
 
+def test_broken_messages_are_made_from_the_topic(spark, tables, monkeypatch):
+    frames = []
+
+    def spied(messages, *args):
+        frames.append(messages)
+        publish(messages, *args)
+
+    publish = registry.publish
+    monkeypatch.setattr(registry, "publish", spied)
+    assert registry.stream_land_broken(spark, tables).count() == 80
+    assert [any("Join" in line for line in _plan(f, "optimizedPlan")) for f in frames] == [True, False]
+
+
 def test_a_table_is_read_in_pieces(spark, tmp_path, conf):
     conf(spark__sql__session__timeZone="Asia/Tokyo")
     spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/t")
