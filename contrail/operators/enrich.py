@@ -53,6 +53,11 @@ class Lookups:
     def unique(self) -> bool:
         return self.carriers_profile.unique and self.airports_profile.unique
 
+    def broadcast(self, spark: SparkSession) -> bool:
+        """Whether both are joined without a shuffle of the trips."""
+        limit = broadcast_limit(spark)
+        return self.carriers_profile.fits_broadcast(limit) and self.airports_profile.fits_broadcast(limit)
+
 
 def attach(trips: DataFrame, lookup: DataFrame, key: str, profile: LookupProfile) -> DataFrame:
     fits = profile.fits_broadcast(broadcast_limit(trips.sparkSession))

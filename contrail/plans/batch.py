@@ -15,7 +15,7 @@ from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import add_departure_hour, engineer_features
 from contrail.plans.feature_tables import feature_groups
-from contrail.sinks.lake import Coverage, covered, publish, read_version, write_version
+from contrail.sinks.lake import Coverage, by_partition, covered, publish, read_version, write_version
 from contrail.sinks.store import FeatureStore, load_table
 
 RUN_LOG = "pipeline_runs"
@@ -134,8 +134,11 @@ def run(
         trips = cleaned.transform(add_departure_hour)
     else:
         with log.stage("process") as stage:
-            featured = cleaned.transform(enrich, lookups).transform(engineer_features)
-            written = write_version(featured, processed_root, compact)
+            # Where names are broadcast they need no shuffle, so the rows are dealt before they get any.
+            early = compact and lookups.broadcast(spark)
+            dealt = by_partition(cleaned) if early else cleaned
+            featured = dealt.transform(enrich, lookups).transform(engineer_features)
+            written = write_version(featured, processed_root, compact and not early)
             stage.records_in, touched = coverage_of_input()
             publish(spark, processed_root, written, featured.schema, touched)
             stage.records_out = written.rows

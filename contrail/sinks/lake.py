@@ -161,17 +161,23 @@ class Coverage:
         return seen["rows"], {t for t in touched if quarter in (None, t[1])}
 
 
+def by_partition(trips: DataFrame) -> DataFrame:
+    """``trips`` redistributed by partition; adaptive execution splits the large ones."""
+    return trips.hint("rebalance", "year", "quarter")
+
+
 def write_version(trips: DataFrame, root: str, compact: bool = True) -> Written:
     """Writes ``trips`` where no reader looks yet.
 
     ``compact`` redistributes the rows by partition, and adaptive execution splits the large
     partitions into files of its advisory size: no task adds a file to every partition, and a
     quarter that holds most rows is not written by one task. For input laid out by date, which
-    reaches few partitions per task, the shuffle can be left out.
+    reaches few partitions per task, the shuffle can be left out, as for trips that went through
+    :func:`by_partition` before.
 
     The observed rows are counted in the tasks that write, after any shuffle.
     """
-    placed = trips.hint("rebalance", "year", "quarter") if compact else trips
+    placed = by_partition(trips) if compact else trips
     seen, version = Observation(), uuid.uuid4().hex
     number = _number(F.col("year"), F.col("quarter"))
     (

@@ -79,6 +79,33 @@ def test_broken_messages_are_made_from_the_topic(spark, tables, monkeypatch):
     assert [any("Join" in line for line in _plan(f, "optimizedPlan")) for f in frames] == [True, False]
 
 
+def test_trips_are_dealt_without_the_names_they_get(spark, tables, tmp_path, monkeypatch):
+    seen = []
+
+    def spied(trips, root, compact=True):
+        seen.append((trips, compact))
+        return write(trips, root, compact)
+
+    write = batch.write_version
+    monkeypatch.setattr(batch, "write_version", spied)
+    raw, carriers, airports = fixture.raw_trips(spark, tables), fixture.carriers(spark, tables), fixture.airports(spark, tables)
+    batch.run(spark, raw, carriers, airports, FolderStore(f"{tmp_path}/store"), f"{tmp_path}/lake")
+    (trips, compact), = seen
+    dealt = _below(_plan(trips, "optimizedPlan"), "RebalancePartitions")
+    assert "airline_name" not in dealt and not compact
+
+
+def test_trips_are_dealt_last_if_names_need_a_shuffle(spark, tables, tmp_path, monkeypatch, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    seen = []
+    write = batch.write_version
+    monkeypatch.setattr(batch, "write_version", lambda trips, root, compact: (seen.append(compact), write(trips, root, compact))[1])
+    raw, carriers, airports = fixture.raw_trips(spark, tables), fixture.carriers(spark, tables), fixture.airports(spark, tables)
+    assert not Lookups.measure(carriers, airports).broadcast(spark)
+    batch.run(spark, raw, carriers, airports, FolderStore(f"{tmp_path}/store"), f"{tmp_path}/lake")
+    assert seen == [True]
+
+
 def test_a_table_is_read_in_pieces(spark, tmp_path, conf):
     conf(spark__sql__session__timeZone="Asia/Tokyo")
     spark.range(0, 400_000, 1, 1).write.option("parquet.block.size", 1 << 18).parquet(f"{tmp_path}/t")
