@@ -98,7 +98,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Joined among themselves first, the narrow tables spare lineitem a second shuffle when no side is small.
+_JOINS = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
+_NARROW_FIRST = (
+    "FROM lineitem JOIN (SELECT o_orderkey, c_nationkey "
+    "FROM orders JOIN customer ON o_custkey = c_custkey) ON l_orderkey = o_orderkey"
+)
+
+
 def _query(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    sql = sql.replace(_JOINS, _NARROW_FIRST)
     for name in names:
         sql = sql.replace(f"FROM {name} ", f"FROM {{{name}}} ")
         sql = sql.replace(f"JOIN {name} ", f"JOIN {{{name}}} ")

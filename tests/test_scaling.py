@@ -47,6 +47,14 @@ def _below(lines: list[str], words: str) -> str:
     return "\n".join(lines[at:end])
 
 
+def test_narrow_tables_are_joined_before_lineitem(spark, tables, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    plan = _plan(fixture.raw_trips(spark, tables))
+    shuffled = _below(plan, "hashpartitioning(o_custkey")
+    assert "o_orderkey" in shuffled and "l_orderkey" not in shuffled
+    assert fixture.raw_trips(spark, tables).count() == 40
+
+
 def test_copies_are_sent_by_many_tasks_and_equal_keys_by_one(spark, conf):
     conf(spark__sql__adaptive__enabled="false")
     sent = spark.range(0, 200, 1, 4).select(F.concat(F.lit("k"), F.col("id") % 50).alias("key"), F.col("id").cast("string").alias("value"))
