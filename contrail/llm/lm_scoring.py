@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import recurrent
-from contrail.llm.common import small_batches, words, words_column
+from contrail.llm.common import small_batches
 from contrail.llm.labelled import fit_in_one_task
 from contrail.scratch import materialise
 
 _CHUNK = 4096
+_PIECE_BYTES = 2**26
 
 
 @dataclass(frozen=True)
@@ -49,13 +51,59 @@ def _tail_class_column(word: Column, tails: int) -> Column:
     return F.crc32(F.substring(F.encode(word, "utf-8"), -2, 2)) % tails
 
 
+# Words ------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Piece:
+    """Some rows of a task and their words, as of :func:`common.words`: ``words`` end to end, with
+    ``counts`` of them per row."""
+
+    rows: pa.Table
+    words: pa.ChunkedArray
+    counts: np.ndarray
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found, row = parts.flatten(), np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
+    real = pc.greater(pc.binary_length(found), 0)  # white space at an end makes an empty part
+    return found.filter(real), np.bincount(row[real.to_numpy(zero_copy_only=False)], minlength=len(texts))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[Piece]:
+    """The batches' rows, with their ``text`` taken apart, in pieces of just over ``tokens`` words
+    and end marks, or fewer if their text is long."""
+    rows, found, counts, size, room = [], [], [], 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column("text")
+        some, n = _split(texts)
+        rows.append(batch.drop_columns(["text"]))
+        found.append(some)
+        counts.append(n)
+        size, room = size + len(some) + len(n), room + texts.nbytes
+        if size > tokens or room > _PIECE_BYTES:
+            yield Piece(pa.Table.from_batches(rows), pa.chunked_array(found), np.concatenate(counts))
+            rows, found, counts, size, room = [], [], [], 0, 0
+    if rows:
+        yield Piece(pa.Table.from_batches(rows), pa.chunked_array(found), np.concatenate(counts))
+
+
 # Counts -----------------------------------------------------------------------------------------
 
 
 def word_counts(train: DataFrame) -> DataFrame:
     """``word`` and ``n`` over all training texts, without the end marks."""
-    found = train.select(F.explode(words_column(F.col("text"))).alias("word"))
-    return found.groupBy("word").agg(F.count("*").alias("n"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, 4_000_000):
+            found = pc.value_counts(piece.words)
+            yield pa.record_batch([found.field("values").cast(pa.string()), found.field("counts")], ["word", "n"])
+
+    found = train.select("text").mapInArrow(count, "word string, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _least_count(counts: DataFrame, known: int) -> int:
@@ -75,7 +123,8 @@ def _least_count(counts: DataFrame, known: int) -> int:
 class Corpus:
     """What all tasks need to know of the training corpus; bounded by the settings."""
 
-    words: dict[bytes, int]  # places of the known words and of the end mark b"" in the next two
+    words: pa.Array  # the known words and the end mark "", by their places in the next two
+    end: int  # place of the end mark
     id_of: np.ndarray
     count_of: np.ndarray
     tokens: int
@@ -114,25 +163,44 @@ def measure(train: DataFrame, counts: DataFrame, settings: Settings) -> Corpus:
         if w:
             mass[tail_class(w, tails)] -= n, 1
     by_id = np.append([n for _, n in top], mass[:, 0])
-    places = {w: k for k, (w, _) in enumerate(known)}
+    places = pa.array([w.decode() for w, _ in known], pa.string())
     id_of = [explicit[w] if w in explicit else n_words + tail_class(w, tails) for w, _ in known]
     count_of = np.array([n for _, n in known], np.float64)
     starts = recurrent.class_starts(by_id[:n_words] + 1, settings.classes)
     sums = mass.sum(1) + 1
-    return Corpus(places, np.array(id_of, np.int32), count_of, tokens, types, sums, by_id, starts)
+    return Corpus(places, known.index(end), np.array(id_of, np.int32), count_of, tokens, types, sums, by_id, starts)
 
 
 # Learning ---------------------------------------------------------------------------------------
 
 
-def lookup(found: list[bytes], corpus: Corpus, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of words and of an end mark, and their places among the known words (-1: not there)."""
-    places = np.fromiter(map(corpus.words.get, found, repeat(-1)), np.int64, len(found))
-    places = np.append(places, corpus.words[b""])
+@dataclass(frozen=True)
+class Tokens:
+    """The tokens of a piece, an end mark after each row's words: their ids; their places among the
+    known words (-1: not there); where each row's tokens end; and the words that are not known."""
+
+    ids: np.ndarray
+    places: np.ndarray
+    ends: np.ndarray
+    unknown: pa.ChunkedArray
+
+    def by_row(self) -> list[np.ndarray]:
+        return np.split(self.ids, self.ends[:-1])
+
+
+def lookup(piece: Piece, corpus: Corpus, n_words: int) -> Tokens:
+    ends = np.cumsum(piece.counts + 1)
+    found = pc.index_in(piece.words, value_set=corpus.words.cast(piece.words.type))
+    unknown = piece.words.filter(pc.is_null(found))
+    places = np.full(ends[-1], corpus.end, np.int64)
+    word = np.ones(len(places), bool)
+    word[ends - 1] = False
+    places[word] = pc.fill_null(found, -1).to_numpy()
     ids, tails = corpus.id_of[places], len(corpus.tail_mass)
-    for k in np.flatnonzero(places < 0).tolist():
-        ids[k] = n_words + tail_class(found[k], tails)
-    return ids, places
+    ending = pc.binary_slice(unknown.cast(pa.large_binary()), -2).combine_chunks().dictionary_encode()
+    classes = np.array([tail_class(w, tails) for w in ending.dictionary.to_pylist()], np.int32)
+    ids[places < 0] = n_words + classes[ending.indices.to_numpy()]
+    return Tokens(ids, places, ends, unknown)
 
 
 def _sum_chunks(parts: DataFrame) -> DataFrame:
@@ -155,7 +223,7 @@ def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurre
     tokens. Every training document takes part in one round, with all its tokens if ``stride`` is 1."""
     shape = recurrent.Shape(corpus.starts, settings.tails, settings.hidden)
     flat = recurrent.first_weights(shape, corpus.ids, settings.seed)
-    texts, n_words = corpus.count_of[corpus.words[b""]], shape.words
+    texts, n_words = corpus.count_of[corpus.end], shape.words
     context = train.sparkSession.sparkContext
     known = context.broadcast(_plain(corpus))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(settings.seed)), F.lit(2**31))
@@ -163,8 +231,10 @@ def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurre
 
     def begin(rows: pd.DataFrame) -> tuple:
         own, memory = flat.copy(), np.full_like(flat, 1e-6)
-        docs = [lookup(words(t), Corpus(*known.value), n_words)[0] for t in rows["text"]]
-        recurrent.learn(own, shape, docs, memory, settings.rate)
+        texts = pa.record_batch([pa.array(rows["text"], pa.string(), from_pandas=True)], ["text"])
+        for piece in pieces([texts], len(rows) + texts.nbytes):
+            docs = lookup(piece, Corpus(*known.value), n_words).by_row()
+            recurrent.learn(own, shape, docs, memory, settings.rate)
         return own, memory
 
     start = train.filter(draw < int(share * 2**31)).select("text")
@@ -174,23 +244,20 @@ def learn(train: DataFrame, corpus: Corpus, settings: Settings) -> tuple[recurre
 
         def replica(batches, state=state):
             own, held = state.value[0].copy(), state.value[1].copy()
-            docs, size, total, own_corpus = [], 0, 0, Corpus(*known.value)
-            for batch in batches:
-                docs += [lookup(words(t), own_corpus, n_words)[0] for t in batch["text"]]
-                size = sum(map(len, docs))
-                if size > settings.chunk_tokens // 4:
-                    recurrent.learn(own, shape, docs, held, settings.rate, settings.stride)
-                    docs, total = [], total + size
-            if docs:
+            total, own_corpus = 0, Corpus(*known.value)
+            for piece in pieces(batches, settings.chunk_tokens // 4):
+                docs = lookup(piece, own_corpus, n_words).by_row()
                 recurrent.learn(own, shape, docs, held, settings.rate, settings.stride)
                 total += sum(map(len, docs))
             if total:
                 both = np.stack([own, held]).astype(np.float64).ravel() * total
-                pieces = [both[a : a + _CHUNK] for a in range(0, len(both), _CHUNK)]
-                yield pd.DataFrame({"chunk": np.arange(len(pieces)), "n": float(total), "values": pieces})
+                cut = np.arange(0, len(both) + _CHUNK, _CHUNK).clip(max=len(both)).astype(np.int32)
+                n, chunk = len(cut) - 1, np.arange(len(cut) - 1, dtype=np.int32)
+                values = pa.ListArray.from_arrays(pa.array(cut), pa.array(both))
+                yield pa.record_batch([chunk, np.full(n, float(total)), values], ["chunk", "n", "values"])
 
         own = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(settings.rounds)) == k).select("text")
-        parts = own.mapInPandas(replica, "chunk int, n double, values array<double>")
+        parts = own.mapInArrow(replica, "chunk int, n double, values array<double>")
         rows = sorted(_sum_chunks(parts).collect(), key=lambda r: r["chunk"])
         if rows:
             both = np.concatenate([np.array(r["values"]) / r["n"] for r in rows]).astype(np.float32)
@@ -214,40 +281,37 @@ def score_texts(docs: DataFrame, corpus: Corpus, shape: recurrent.Shape, flat: n
     floor, n_words = float(np.log10(corpus.tokens + corpus.types + 1)), shape.words
     names = [c.split()[0] for c in _SCORED.split(", ")]
 
-    def one(own, logs_of, in_tail, doc_id, out, text):
-        found = words(text)
-        ids, places = lookup(found, own, n_words)
-        logs, in_class = logs_of[places], ids >= n_words
-        inside = (logs[in_class] - in_tail[ids[in_class] - n_words]).sum()
-        rest = Counter(found[k] for k in np.flatnonzero(places < 0).tolist())
-        n_known = int((own.count_of[places[places >= 0]] > 0).sum())
-        return (
-            doc_id, out, len(ids), n_known, logs.sum() - len(ids) * floor, inside,
-            [{"word": w.decode("utf-8", "replace"), "times": n} for w, n in rest.items()], ids,
-        )
-
-    def scored(rows: list) -> pd.DataFrame:
-        nats = recurrent.score(weights.value, shape, [r[-1] for r in rows])
-        frame = pd.DataFrame([r[:-1] for r in rows], columns=names)
-        frame["score"] += nats / np.log(10)
-        return frame
-
-    def run(batches):
-        rows, size, own = [], 0, Corpus(*known.value)
+    def rest(found: Tokens) -> pa.ListArray:
+        """Per row its words that are not known, each once, and how often they occur."""
+        row = np.searchsorted(found.ends, np.flatnonzero(found.places < 0), "right")
+        coded = found.unknown.cast(pa.string()).combine_chunks().dictionary_encode()
+        n = max(len(coded.dictionary), 1)
+        pairs, times = np.unique(row * n + coded.indices.to_numpy(), return_counts=True)
+        found_words = coded.dictionary.take(pa.array(pairs % n))
+        pairs_of = pa.StructArray.from_arrays([found_words, pa.array(times.astype(np.int32))], ["word", "times"])
+        offsets = np.searchsorted(pairs // n, np.arange(len(found.ends) + 1))
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pairs_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Corpus(*known.value)
         # A place of -1 is the last one: an unseen word, until its count is joined.
         logs_of, in_tail = np.append(np.log10(own.count_of + 1), 0.0), np.log10(own.tail_mass)
-        for batch in batches:
-            ids = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
-            arguments = repeat(own), repeat(logs_of), repeat(in_tail), ids
-            rows += map(one, *arguments, batch["held_out"], batch["text"])
-            size = sum(r[2] for r in rows)
-            if size >= settings.chunk_tokens:
-                yield scored(rows)
-                rows = []
-        if rows:
-            yield scored(rows)
-
-    return docs.select("doc_id", "held_out", "text").mapInPandas(run, _SCORED)
+        seen = np.append(own.count_of > 0, False)
+        for piece in pieces(batches, settings.chunk_tokens):
+            found = lookup(piece, own, n_words)
+            starts, logs = np.append(0, found.ends[:-1]), logs_of[found.places]
+            lengths = found.ends - starts
+            n_known = np.add.reduceat(seen[found.places], starts, dtype=np.int64)
+            base = np.add.reduceat(logs, starts) - lengths * floor
+            outside = found.ids < n_words
+            logs -= in_tail[np.where(outside, 0, found.ids - n_words)]
+            logs[outside] = 0
+            nats = recurrent.score(weights.value, shape, found.by_row())
+            score = np.add.reduceat(logs, starts) + nats / np.log(10)
+            given = (piece.rows.column(c).combine_chunks() for c in names[:2])
+            yield pa.record_batch([*given, *map(pa.array, (lengths, n_known, base, score)), rest(found)], names)
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, _SCORED)
 
 
 def lm_score(docs: DataFrame, held_out: Column, settings: Settings = Settings()) -> DataFrame:

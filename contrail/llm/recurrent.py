@@ -79,30 +79,123 @@ def first_weights(shape: Shape, counts: np.ndarray, seed: int) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+_HALF = np.float32(0.5)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+class _Spread:
+    """Scratch room for one softmax over the classes and one over the words of each class.
+
+    Rows are sorted by class, so a class is a slice. A row holds a state and a one; the last row of
+    ``wc`` and the last column of ``wo`` are the biases. Exponentials are not divided by their sums:
+    whoever needs probabilities scales the rows instead.
+    """
+
+    def __init__(self, shape: Shape):
+        starts = np.array(shape.starts)
+        self.hidden, self.starts, self.widths = shape.hidden, starts[:-1], np.diff(starts)
+        kind = np.uint16 if shape.classes < 2**16 else np.int64
+        self.class_of = shape.class_of().astype(kind)  # short ids are sorted by radix
+        self.n = shape.classes
+        self.ones = np.ones(max(self.n, int(self.widths.max())), np.float32)
+        self.room = np.empty(0, np.float32)
+
+    def sort(self, ids: np.ndarray) -> np.ndarray:
+        """The order of ``ids`` by class, which the next call expects."""
+        classes = self.class_of[ids]
+        order = np.argsort(classes, kind="stable")
+        self.classes, self.ids = classes[order], ids[order]
+        per_class = np.bincount(classes, minlength=self.n)[: len(self.widths)]
+        edges, sizes = np.cumsum(per_class), per_class * self.widths
+        ends, live = np.cumsum(sizes), np.flatnonzero(per_class)
+        self.explicit, self.size = int(edges[-1]), int(ends[-1])
+        wide = self.classes[: self.explicit]
+        first = (ends - sizes - (edges - per_class) * self.widths - self.starts)[wide]
+        self.own = first + np.arange(self.explicit) * self.widths[wide] + self.ids[: self.explicit]
+        if len(self.room) < self.size:
+            self.room = np.empty(self.size * 5 // 4, np.float32)
+        a, w = (edges - per_class)[live], self.widths[live]
+        p, s = (ends - sizes)[live], self.starts[live]
+        self.slices = [
+            (slice(a0, b0), slice(s0, s0 + w0), self.room[p0 : p0 + (b0 - a0) * w0].reshape(b0 - a0, w0))
+            for a0, b0, s0, w0, p0 in zip(a.tolist(), edges[live].tolist(), s.tolist(), w.tolist(), p.tolist())
+        ]
+        return order
+
+    def over_classes(self, hs: np.ndarray, wc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Exponentials, their sums per row, and the logarithm of the own class's share; the
+        positions of the own classes."""
+        x = hs @ wc
+        at = np.arange(len(hs)) * self.n + self.classes
+        own = x.ravel()[at]
+        top = x.max() if x.size else np.float32(0)
+        if x.size and top - own.min() > 60:  # rows far apart: each by its own greatest entry
+            top = x.max(1)
+            x -= top[:, None]
+        else:
+            x -= top
+        np.exp(x, out=x)
+        sums = x @ self.ones[: self.n]
+        return x, sums, own - top - np.log(sums), at
+
+    def over_words(self, hs: np.ndarray, wo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for the words of the rows' classes, laid end to end; rows of tail classes have none."""
+        for rows, columns, x in self.slices:
+            np.matmul(hs[rows], wo[columns].T, out=x)
+        x, sums = self.room[: self.size], np.empty(self.explicit, np.float32)
+        own = x[self.own]
+        top = x.max() if x.size else np.float32(0)
+        if x.size and top - own.min() > 60:
+            top = np.empty(self.explicit, np.float32)
+            for rows, _, part in self.slices:
+                top[rows] = part.max(1)
+                part -= top[rows, None]
+        else:
+            x -= top
+        np.exp(x, out=x)
+        for rows, _, part in self.slices:
+            np.matmul(part, self.ones[: part.shape[1]], out=sums[rows])
+        return x, sums, own - top - np.log(sums)
+
+
+def _packed(shape: Shape) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+    """Where the flat vector's entries go so that biases stand beside the weights of their softmax,
+    and the shapes of the parts: embeddings, input and recurrent weights, their bias, class weights
+    with a last row of biases, word weights with a last column of them."""
+    emb, wx, u, b, wc, bc, wo, bo = shape.split(np.arange(shape.size))
+    parts = [emb, wx, u, b, np.vstack([wc, bc]), np.column_stack([wo, bo])]
+    return np.concatenate([p.ravel() for p in parts]), [p.shape for p in parts]
+
+
+def _views(flat: np.ndarray, shapes: list[tuple[int, ...]]) -> list[np.ndarray]:
+    ends = np.cumsum([int(np.prod(s)) for s in shapes])
+    return [flat[e - int(np.prod(s)) : e].reshape(s) for e, s in zip(ends, shapes)]
+
+
+def _halved(h_size: int) -> np.ndarray:
+    """Factors of the three gates' columns: a sigmoid is made of the tanh of half its argument."""
+    return np.repeat(np.array([0.5, 0.5, 1.0], np.float32), h_size)
 
 
-def _log_of(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """One entry per row of the logarithm of its softmax."""
-    own = x[np.arange(len(x)), chosen]
-    top = x.max()
-    if top - own.min() > 60:  # rows far apart: each by its own greatest entry
-        return _log_softmax(x)[np.arange(len(x)), chosen]
-    np.exp(np.subtract(x, top, out=x), out=x)
-    return own - top - np.log(x @ np.ones(x.shape[1], x.dtype))
+def _blocks(x: np.ndarray, g: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Views for :func:`_step` of what input and state give to the gates of ``k`` units."""
+    return x[: 2 * k], g[: 2 * k], x[:k], x[k : 2 * k], x[2 * k :], g, g[2 * k :]
 
 
-def _by_class(classes: np.ndarray, n: int):
-    """Positions of the rows of each class that occurs."""
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(n + 1))
-    return [(c, order[a:b]) for c, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+def _step(blocks: tuple[np.ndarray, ...], u_t: np.ndarray, h: np.ndarray, out: np.ndarray, room: np.ndarray) -> None:
+    """One step of all lanes, a column each: the input's part becomes the gates, ``out`` the new
+    state. Input and weights are halved for the first two gates."""
+    zr, g_zr, z, r, n, g, g_n = blocks
+    np.matmul(u_t, h, out=g)
+    zr += g_zr
+    np.tanh(zr, out=zr)
+    zr *= _HALF
+    zr += _HALF
+    np.multiply(r, g_n, out=room)
+    n += room
+    np.tanh(n, out=n)
+    np.subtract(h, n, out=out)
+    out *= z
+    out += n
 
 
 def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 192, window: int = 32) -> np.ndarray:
@@ -111,9 +204,12 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 1
     Documents are dealt to lanes, longest first; a lane runs through its documents window by window
     and carries its state on, back to zero only where a document begins.
     """
-    emb, wx, u, b, wc, bc, wo, bo = shape.split(flat)
-    h_size, class_of = shape.hidden, shape.class_of()
-    into, starts = emb @ wx + b, np.array(shape.starts)
+    where, shapes = _packed(shape)
+    emb, wx, u, b, wc, wo = _views(flat[where], shapes)
+    h_size, spread = shape.hidden, _Spread(shape)
+    half = _halved(h_size)
+    u_t, into = np.ascontiguousarray((u * half).T), np.ascontiguousarray(((emb @ wx + b) * half))
+    fresh_x = (b * half)[:, None]
     lanes = max(1, min(lanes, len(docs)))
     order = sorted(range(len(docs)), key=lambda d: -len(docs[d]))
     lengths, dealt = np.zeros(lanes, np.int64), [[] for _ in range(lanes)]
@@ -134,7 +230,7 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 1
             targets[at : at + n, lane], owner[at : at + n, lane] = docs[d], d
             begins[at, lane] = n > 0
             at += n
-    totals, h = np.zeros(len(docs)), np.zeros((lanes, h_size), np.float32)
+    totals, h = np.zeros(len(docs)), np.zeros((h_size, lanes), np.float32)
     for t0 in range(0, steps, window):
         t1 = min(t0 + window, steps)
         n_live = int((lengths > t0).sum())  # lanes that are not through
@@ -142,29 +238,25 @@ def score(flat: np.ndarray, shape: Shape, docs: list[np.ndarray], lanes: int = 1
         before[1:] = targets[t0 : t1 - 1, :n_live]
         if t0:
             before[0] = targets[t0 - 1, :n_live]
-        x, states = into[before], np.empty((t1 - t0, n_live, h_size), np.float32)
-        fresh, h = begins[t0:t1, :n_live], h[:n_live]
+        x = np.ascontiguousarray(np.take(into, before, 0).transpose(0, 2, 1))
+        states = np.empty((t1 - t0, h_size, n_live), np.float32)
+        fresh, h = begins[t0:t1, :n_live], np.ascontiguousarray(h[:, :n_live])
+        clear = fresh.any(1)
+        g, room = np.empty((3 * h_size, n_live), np.float32), np.empty((h_size, n_live), np.float32)
         for t in range(t1 - t0):
-            if fresh[t].any():
-                new = fresh[t]
-                h = np.where(new[:, None], np.float32(0), h)
-                x[t, new] = b  # nothing comes before a first token
-            g, xt = h @ u, x[t]
-            zr = _sigmoid(xt[:, : 2 * h_size] + g[:, : 2 * h_size])
-            z, r = zr[:, :h_size], zr[:, h_size:]
-            n = np.tanh(xt[:, 2 * h_size :] + r * g[:, 2 * h_size :])
-            h = n + z * (h - n)
-            states[t] = h
+            if clear[t]:
+                h = np.where(fresh[t], np.float32(0), h)
+                x[t][:, fresh[t]] = fresh_x  # nothing comes before a first token
+            _step(_blocks(x[t], g, h_size), u_t, h, states[t], room)
+            h = states[t]
         live = owner[t0:t1, :n_live].ravel()
-        used = live >= 0
-        hs, ids, live = states.reshape(-1, h_size)[used], targets[t0:t1, :n_live].ravel()[used], live[used]
-        classes = class_of[ids]
-        logs = _log_of(hs @ wc + bc, classes).astype(np.float64)
-        for c, rows in _by_class(classes, len(starts) - 1):
-            a, z = starts[c], starts[c + 1]
-            if z - a > 1:
-                logs[rows] += _log_of(hs[rows] @ wo[a:z].T + bo[a:z], ids[rows] - a)
-        totals += np.bincount(live, logs, len(docs))
+        used = np.flatnonzero(live >= 0)
+        by_class = used[spread.sort(targets[t0:t1, :n_live].ravel()[used])]
+        hs = np.ones((len(used), h_size + 1), np.float32)
+        hs[:, :h_size] = np.take(states.transpose(0, 2, 1).reshape(-1, h_size), by_class, 0)
+        logs = spread.over_classes(hs, wc)[2].astype(np.float64)
+        logs[: spread.explicit] += spread.over_words(hs, wo)[2]
+        totals += np.bincount(live[by_class], logs, len(docs))
     return totals
 
 
@@ -187,7 +279,6 @@ def learn(
     if not docs:
         return
     hs_ = shape.hidden
-    class_of, starts = shape.class_of(), np.array(shape.starts)
     stream = np.concatenate(docs)
     begins = np.zeros(len(stream), bool)
     begins[np.cumsum([0, *map(len, docs[:-1])])] = True
@@ -209,71 +300,105 @@ def learn(
         for a, fill in ((stream, -1), (before, 0), (begins, True))
     ]
     targets, before, begins = shaped
-    emb, wx, u, b, wc, bc, wo, bo = shape.split(flat)
-    h = np.zeros((lanes, hs_), np.float32)
+    where, shapes = _packed(shape)
+    own, held = flat[where], memory[where]
+    grad, room = np.empty_like(own), np.empty_like(own)
+    emb, wx, u, b, wc, wo = _views(own, shapes)
+    g_emb, g_wx, g_u, g_b, g_wc, g_wo = _views(grad, shapes)
+    half, spread = _halved(hs_), _Spread(shape)
+    entries = np.arange(emb.size).reshape(emb.shape)
+    # A column per lane; blocks of gates one below the other, so that every block lies in one piece.
+    x_all, g_all = np.empty((2, window, 3 * hs_, lanes), np.float32)
+    blocks = [_blocks(x, g, hs_) for x, g in zip(x_all, g_all)]
+    states = np.zeros((window + 1, hs_, lanes), np.float32)
+    inputs = np.ones((window, hs_ + 1, lanes), np.float32)
+    dg_all = np.empty((window, 3, hs_, lanes), np.float32)
+    small, carried = np.empty((2, hs_, lanes), np.float32)
     for t0 in range(0, len(targets), window):
         y, x_ids, new = targets[t0 : t0 + window], before[t0 : t0 + window], begins[t0 : t0 + window]
         steps = len(y)
-        grad = np.zeros_like(flat)
-        g_emb, g_wx, g_u, g_b, g_wc, g_bc, g_wo, g_bo = shape.split(grad)
-        known = ~new
-        e = emb[x_ids] * known[..., None]
-        x = e @ wx + b
-        kept = []
+        clear, known = new.any(1), ~new
+        x, gates = x_all[:steps], g_all[:steps]
+        e = np.take(emb, x_ids, 0)
+        e[new] = 0
+        inputs[:steps, :hs_] = e.transpose(0, 2, 1)
+        u_t = np.ascontiguousarray((u * half).T)
+        np.matmul(np.ascontiguousarray((np.vstack([wx, b]) * half).T), inputs[:steps], out=x)
+        cleared = {}
         for t in range(steps):
-            h = h * known[t][:, None]
-            g = h @ u
-            zr = _sigmoid(x[t, :, : 2 * hs_] + g[:, : 2 * hs_])
-            z, r, gn = zr[:, :hs_], zr[:, hs_:], g[:, 2 * hs_ :]
-            n = np.tanh(x[t, :, 2 * hs_ :] + r * gn)
-            kept.append((h, z, r, n, gn))
-            h = n + z * (h - n)
-        states = np.stack([k[0] for k in kept[1:]] + [h]) if steps > 1 else h[None]
-        # The state after a step, before a document's beginning clears it.
-        for t in range(steps - 1):
-            if new[t + 1].any():
-                hp, z, _, n, _ = kept[t]
-                states[t] = n + z * (hp - n)
-        used = np.flatnonzero(y.ravel() >= 0)
-        hs, ids = states.reshape(-1, hs_)[used], y.ravel()[used]
-        classes = class_of[ids]
-        d = np.exp(_log_softmax(hs @ wc + bc))
-        d[np.arange(len(ids)), classes] -= 1
-        g_wc[:], g_bc[:] = hs.T @ d, d.sum(0)
-        dh_used = d @ wc.T
-        for c, rows in _by_class(classes, len(starts) - 1):
-            a, last = starts[c], starts[c + 1]
-            if last - a > 1:
-                own = hs[rows]
-                d = np.exp(_log_softmax(own @ wo[a:last].T + bo[a:last]))
-                d[np.arange(len(rows)), ids[rows] - a] -= 1
-                g_wo[a:last], g_bo[a:last] = d.T @ own, d.sum(0)
-                dh_used[rows] += d @ wo[a:last]
-        dh_out = np.zeros((steps * lanes, hs_), np.float32)
-        dh_out[used] = dh_used
-        dh_out = dh_out.reshape(steps, lanes, hs_)
-        dx, carried = np.empty_like(x), np.zeros((lanes, hs_), np.float32)
+            h = states[t]
+            if clear[t]:
+                h = cleared[t] = h * known[t]
+            _step(blocks[t], u_t, h, states[t + 1], small)
+        # The states before the steps, those of beginnings cleared, and after them, uncleared.
+        prior = states[:steps].copy()
+        for t, h in cleared.items():
+            prior[t] = h
+        y = y.ravel()
+        used = np.flatnonzero(y >= 0)
+        at = used[spread.sort(y[used])]
+        hs = np.ones((len(at), hs_ + 1), np.float32)
+        hs[:, :hs_] = np.take(states[1 : steps + 1].transpose(0, 2, 1).reshape(-1, hs_), at, 0)
+        share = np.float32(1 / max(len(at), 1))
+        d, sums, _, own_class = spread.over_classes(hs, wc)
+        d.ravel()[own_class] -= sums
+        per = share / sums[:, None]
+        np.matmul((hs * per).T, d, out=g_wc)
+        dh_used = d @ wc[:hs_].T
+        dh_used *= per
+        g_wo[:] = 0
+        d, sums, _ = spread.over_words(hs, wo)
+        d[spread.own] -= sums
+        per, weights = share / sums[:, None], wo[:, :hs_]
+        scaled, by_words = hs[: len(sums)] * per, np.empty((len(sums), hs_), np.float32)
+        for rows, columns, part in spread.slices:
+            np.matmul(part.T, scaled[rows], out=g_wo[columns])
+            np.matmul(part, weights[columns], out=by_words[rows])
+        by_words *= per
+        dh_used[: len(sums)] += by_words
+        dh = np.zeros((steps * lanes, hs_), np.float32)
+        dh[at] = dh_used
+        dh = np.ascontiguousarray(dh.reshape(steps, lanes, hs_).transpose(0, 2, 1))
+        z, r, n = x[:, :hs_], x[:, hs_ : 2 * hs_], x[:, 2 * hs_ :]
+        # What a state's gradient is multiplied by to become that of each block of gates.
+        dg, new_part = dg_all[:steps], 1 - z
+        of_z, of_r, of_n = dg[:, 0], dg[:, 1], dg[:, 2]
+        np.subtract(prior, n, out=of_z)
+        of_z *= z
+        of_z *= new_part
+        np.multiply(n, n, out=n)
+        n *= new_part
+        new_part -= n
+        np.multiply(new_part, r, out=of_n)
+        np.multiply(of_n, gates[:, 2 * hs_ :], out=of_r)
+        of_r *= np.subtract(1, r, out=r)
+        carried[:] = 0
         for t in range(steps - 1, -1, -1):
-            hp, z, r, n, gn = kept[t]
-            dh = dh_out[t] + carried
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (hp - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dx[t, :, :hs_], dx[t, :, hs_ : 2 * hs_], dx[t, :, 2 * hs_ :] = dz, dr, dn
-            dg = dx[t].copy()
-            dg[:, 2 * hs_ :] *= r
-            g_u += hp.T @ dg
-            carried = (dh * z + dg @ u.T) * known[t][:, None]
-        dx2 = dx.reshape(-1, 3 * hs_)
-        g_b[:], g_wx[:] = dx2.sum(0), e.reshape(-1, hs_).T @ dx2
-        de = (dx2 @ wx.T) * known.reshape(-1, 1)
-        rows = x_ids.ravel()
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
-        g_emb[rows[order][first]] = np.add.reduceat(de[order], first, 0)
-        grad /= max(len(ids), 1)
+            dh_t, dg_t = dh[t], dg[t]
+            dh_t += carried
+            dg_t *= dh_t
+            np.matmul(u, dg_t.reshape(3 * hs_, lanes), out=carried)
+            np.multiply(dh_t, z[t], out=small)
+            carried += small
+            if clear[t]:
+                carried *= known[t]
+        dx = dg.reshape(steps, 3 * hs_, lanes)
+        g_u[:] = np.matmul(dx, prior.transpose(0, 2, 1)).sum(0).T
+        np.multiply(new_part, dh, out=of_n)
+        np.sum(dx.sum(0), 1, out=g_b)
+        g_wx[:] = np.matmul(dx, e).sum(0).T
+        de = np.matmul(dx.transpose(0, 2, 1), wx.T)
+        de[new] = 0
+        places = np.take(entries, x_ids.ravel(), 0).ravel()
+        g_emb[:] = np.bincount(places, de.ravel(), emb.size).reshape(emb.shape)
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm
-        memory += grad * grad
-        flat -= rate * grad / np.sqrt(memory)
+        np.multiply(grad, grad, out=room)
+        held += room
+        np.sqrt(held, out=room)
+        np.divide(grad, room, out=room)
+        room *= rate
+        own -= room
+        states[0] = states[steps]
+    flat[where], memory[where] = own, held

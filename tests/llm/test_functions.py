@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -105,6 +106,68 @@ def test_every_training_token_gets_a_gradient():
     assert (shape.split(memory)[0] > 1e-6).any(1).all()
 
 
+def test_a_window_takes_few_calls():
+    """What a window of learning or scoring costs besides its matrix products: calls of methods."""
+    rng = np.random.default_rng(3)
+    counts = np.arange(640, 0, -1.0)
+    shape = recurrent.Shape(recurrent.class_starts(counts[:600], 32), 40, hidden=6)
+    flat = recurrent.first_weights(shape, counts, 1)
+    docs = [rng.integers(0, 640, 512).astype(np.int32) for _ in range(256)]
+    calls = Counter()
+
+    def count(frame, event, what):
+        calls[event] += 1
+
+    for windows, run in (
+        (64, lambda: recurrent.learn(flat.copy(), shape, docs, np.full_like(flat, 1e-6), 0.05)),
+        (32, lambda: recurrent.score(flat, shape, docs)),
+    ):
+        calls.clear()
+        sys.setprofile(count)
+        try:
+            run()
+        finally:
+            sys.setprofile(None)
+        assert calls["c_call"] + calls["call"] < 400 * windows
+
+
+def test_a_step_follows_the_gradient():
+    """With a great memory a step is the gradient times a constant; it is held to differences."""
+    rng = np.random.default_rng(4)
+    counts = np.arange(12, 0, -1.0)
+    shape = recurrent.Shape(recurrent.class_starts(counts[:10], 3), 2, hidden=4)
+    flat = recurrent.first_weights(shape, counts, 1)
+    docs = [rng.integers(0, 12, n).astype(np.int32) for n in (7, 4, 5)]
+    own = flat.copy()
+    recurrent.learn(own, shape, docs, np.full_like(flat, 1e4), 100.0, lanes=1, window=16)
+    step, wide = flat - own, flat.astype(np.float64)
+    for k in rng.choice(len(flat), 60, replace=False):
+        up, down = wide.copy(), wide.copy()
+        up[k], down[k] = wide[k] + 1e-3, wide[k] - 1e-3
+        both = [recurrent.score(w.astype(np.float32), shape, docs).sum() / 16 for w in (up, down)]
+        assert abs(step[k] - (both[1] - both[0]) / 2e-3) < 2e-3
+
+
+def test_pieces_hold_the_words_of_all_rows():
+    import pyarrow as pa
+
+    from contrail.llm.common import words
+    from contrail.llm.lm_scoring import Corpus, lookup, pieces, tail_class
+
+    texts = [" A b\t\vB\f", None, "", "\r\n ", "É\u2028é\x1cx \u00a0 A", "b " * 9, "Ünseen x"]
+    batches = [pa.record_batch([pa.array(texts[a : a + 2], pa.string())], ["text"]) for a in range(0, 8, 2)]
+    known = pa.array(["b", "", "a"])
+    corpus = Corpus(known, 1, np.array([0, 1, 2]), np.ones(3), 9, 3, np.ones((5, 2)), np.ones(8), (0, 3))
+    for tokens in (1, 8, 1000):
+        found = list(pieces(iter(batches), tokens))
+        assert [w.encode() for p in found for w in p.words.to_pylist()] == [w for t in texts for w in words(t)]
+        assert [n for p in found for n in p.counts] == [len(words(t)) for t in texts]
+        rows = [ids.tolist() for p in found for ids in lookup(p, corpus, 3).by_row()]
+        ids = {b"b": 0, b"": 1, b"a": 2}
+        assert rows == [[ids.get(w, 3 + tail_class(w, 5)) for w in [*words(t), b""]] for t in texts]
+    assert len(list(pieces(iter(batches), 1))) == 4 and not list(pieces(iter([]), 1))
+
+
 def test_shingles_and_similarity():
     text = some_text(50, 1000)
     found = text.split()
