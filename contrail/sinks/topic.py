@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from contrail.scratch import LEAN, shuffles_removed
+
 # Delivery settings of the message client. They allow repeats (at least once).
 DELIVERY_OPTIONS = {
     "kafka.acks": "all",
@@ -22,4 +24,6 @@ def broker_options(servers: str, topic: str) -> dict[str, str]:
 
 def publish(messages: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
     """Sends ``key``, ``value`` rows in parallel, one task per input split."""
-    messages.select("key", "value").write.format(fmt).options(**options).mode("append").save()
+    own = LEAN if fmt == "parquet" else {}
+    with shuffles_removed(messages.sparkSession):
+        messages.select("key", "value").write.format(fmt).options(**own | dict(options)).mode("append").save()

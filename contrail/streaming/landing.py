@@ -17,9 +17,10 @@ from pyspark.sql.window import Window
 
 from contrail.files import exists, matching, remove
 from contrail.operators.audit import observed
+from contrail.operators.enrich import broadcast_limit
 from contrail.operators.messages import from_messages
 from contrail.schemas import MESSAGE_TOPIC
-from contrail.scratch import in_pieces, materialise, new_path, temporary
+from contrail.scratch import LEAN, in_pieces, materialise, new_path, shuffles_removed, staged, temporary
 from contrail.streaming.seen import SeenIndex, identity
 
 # Formats that bring their own ``key`` and ``value`` columns.
@@ -28,6 +29,8 @@ _QUERY_ID = "sql.streaming.queryId"
 BATCH = "batch"
 # A staged table is dealt to tasks in pieces of this much of its files, some ten times that in memory.
 PIECE_BYTES = 16 << 20
+# About what an identity takes in a broadcast.
+KEY_BYTES = 64
 
 
 def read_topic(spark: SparkSession, fmt: str, options: Mapping[str, str]) -> DataFrame:
@@ -121,35 +124,55 @@ class Landing:
     def _stage(self, rows: DataFrame, label: str) -> int:
         """Lands through a table of the batch, which the steps that follow read. Their session plans
         adaptively, which the stream's may not."""
-        rows = rows.drop("arrival") if self.index is None else first_of_each(rows)
+        index = None if self.index is None else SeenIndex(self.spark, self.index)
+        rows = rows.drop("arrival") if index is None else self._unseen(rows, index, label)
         path = new_path(self.spark, "landing")
-        materialise(rows, "landing", path=path)
+        staged(rows, "landing", path=path)
         reader = self.spark if self.file_bytes is None else in_pieces(self.spark, PIECE_BYTES)
         fresh = reader.read.schema(rows.schema).parquet(path)
-        index = None if self.index is None else SeenIndex(self.spark, self.index)
-        if index is not None:
-            seen = index.seen(fresh, fresh.count(), label)
-            if seen is not None:
-                fresh = materialise(fresh.join(seen, "digest", "left_anti"), "fresh")
         trips = fresh.drop("digest")
         landed = self._write(trips if self.file_bytes is None else sized_by_month(trips, self.file_bytes), label)
         if index is not None:
             index.extend(fresh, landed, label)
         return landed
 
+    def _unseen(self, rows: DataFrame, index: SeenIndex, label: str) -> DataFrame:
+        """The first row of each trip that no other batch has brought. The index is asked for identities
+        alone, so whole rows of known trips are neither shuffled nor written; the batch is read once
+        more for that if there is an index."""
+        first = first_of_each(rows)
+        if index.empty():
+            return first
+        keys = staged(rows.select("year", "month", identity().alias("digest")).distinct(), "keys")
+        asked = keys.count()
+        seen = index.seen(keys, asked, label)
+        path = new_path(self.spark, "fresh")
+        n = staged(keys.select("digest").join(seen, "digest", "left_anti"), "fresh", path=path).count()
+        if n == asked:
+            return first
+        if not n:
+            return rows.sparkSession.createDataFrame([], first.schema)
+        new = rows.sparkSession.read.schema("digest binary").parquet(path)
+        if n * KEY_BYTES <= broadcast_limit(self.spark):
+            return first_of_each(rows.join(F.broadcast(new), identity() == F.col("digest"), "left_semi"))
+        # Reduced by identity first, in the tasks that read: the join needs no other shuffle of the rows.
+        return first.join(new, "digest", "left_semi")
+
     def _write(self, rows: DataFrame, label: str) -> int:
         """Replaces the folders of this batch, so a second attempt leaves no row of the first. Only
         appends to the lake, for which any committer will do."""
         for folder in matching(self.spark, f"{self.root}/year=*/month=*/{BATCH}={label}"):
             remove(self.spark, folder)
         landed = Observation()
-        (
+        writer = (
             rows.withColumn(BATCH, F.lit(label))
             .observe(landed, F.count(F.lit(1)).alias("rows"))
             .write.mode("append")
+            .options(**LEAN)
             .partitionBy("year", "month", BATCH)
-            .parquet(self.root)
         )
+        with shuffles_removed(rows.sparkSession):
+            writer.parquet(self.root)
         return observed(landed).get("rows", 0)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from contrail.files import exists, matching, remove, write_new
 from contrail.schemas import IDENTITY_COLUMNS
-from contrail.scratch import materialise
+from contrail.scratch import shuffles_removed, staged
 
 # Per piece of a batch's identities: one filter, one task's group.
 PIECE_ROWS = 100_000
@@ -90,6 +90,10 @@ class SeenIndex:
         path = f"{self._folder()}/{name}"
         return self.spark.read.schema(schema).parquet(path) if exists(self.spark, path) else None
 
+    def empty(self) -> bool:
+        """Whether no batch has added anything yet."""
+        return self._table("filters", _FILTERS) is None or self._table("keys", _KEYS) is None
+
     def compact(self) -> int:
         """Rewrites the index without the many small files that batches leave; returns its identities.
 
@@ -101,7 +105,7 @@ class SeenIndex:
             return 0
         before, number = self._folder(), len(self._generations()) + 1
         folder = f"{number:06d}-{uuid.uuid4().hex}"
-        keys = materialise(known.select("year", "month", "digest").distinct(), "compact")
+        keys = staged(known.select("year", "month", "digest").distinct(), "compact")
         rows = keys.count()
         self._add(keys, rows, "compacted", f"{self.root}/{folder}")
         write_new(self.spark, f"{self.root}/_generations/{folder}", "")
@@ -120,7 +124,8 @@ class SeenIndex:
             {"piece": F.pmod(_draw(), F.lit(pieces)), "label": F.lit(label)}
         )
         placed = keys.repartition("year", "month", "piece").sortWithinPartitions("year", "month", "digest")
-        placed.drop("piece").write.mode("append").partitionBy("year", "month").parquet(f"{folder}/keys")
+        with shuffles_removed(self.spark):
+            placed.drop("piece").write.mode("append").partitionBy("year", "month").parquet(f"{folder}/keys")
 
         def build(group: pd.DataFrame) -> pd.DataFrame:
             first = group.iloc[:1][["year", "month", "label", "piece"]]
@@ -129,7 +134,8 @@ class SeenIndex:
             )
 
         filters = keys.groupBy("year", "month", "piece").applyInPandas(build, _FILTERS)
-        filters.write.mode("append").partitionBy("year", "month").parquet(f"{folder}/filters")
+        with shuffles_removed(self.spark):
+            filters.write.mode("append").partitionBy("year", "month").parquet(f"{folder}/filters")
 
     def seen(self, keys: DataFrame, rows: int, label: str) -> DataFrame | None:
         """The ``digest`` of those ``keys`` (``year``, ``month``, ``digest``; ``rows`` of them) that a
@@ -137,7 +143,7 @@ class SeenIndex:
         filters, known = self._table("filters", _FILTERS), self._table("keys", _KEYS)
         if filters is None or known is None:
             return None
-        maybe = materialise(self._maybe(keys, filters.filter(F.col("label") != label), rows), "maybe")
+        maybe = staged(self._maybe(keys, filters.filter(F.col("label") != label), rows), "maybe")
         months = [tuple(r) for r in maybe.select("year", "month").distinct().limit(NAMED_MONTHS + 1).collect()]
         if not months:
             return maybe.select("digest")
@@ -147,7 +153,7 @@ class SeenIndex:
                 named |= F.col("year").eqNullSafe(year) & F.col("month").eqNullSafe(month)
             known = known.filter(named)
         known = known.filter(F.col("label") != label).select("digest")
-        return materialise(maybe.select("digest").join(known, "digest", "left_semi"), "seen")
+        return staged(maybe.select("digest").join(known, "digest", "left_semi"), "seen")
 
     def _maybe(self, keys: DataFrame, filters: DataFrame, rows: int) -> DataFrame:
         """The keys that a filter of their month may hold. Keys are dealt to groups of about

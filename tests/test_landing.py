@@ -12,6 +12,7 @@ from contrail.operators.messages import from_messages, to_messages
 from contrail.scratch import shared_folder
 from contrail.sinks.topic import publish
 from contrail.sources.lake import read_raw
+from contrail.streaming import landing as landing_module
 from contrail.streaming import seen as seen_module
 from contrail.streaming.landing import Landing, first_of_each, land, read_topic
 from contrail.streaming.seen import SeenIndex, bloom, may_hold
@@ -136,6 +137,38 @@ def test_a_batch_that_is_run_again_takes_no_row_for_a_repeat(spark, folders, tmp
     assert not left
 
 
+def test_known_trips_are_told_by_their_identities(spark, folders, tmp_path, monkeypatch):
+    """What a batch has of known trips is neither shuffled nor written as whole rows."""
+    send_file(spark, folders[0], 0)
+    index, report, made = str(tmp_path / "seen"), [], {}
+    before = whole(land_all(spark, folders, index))
+    staged = landing_module.staged
+
+    def spied(df, label, *given, **named):
+        made[label] = df
+        return staged(df, label, *given, **named)
+
+    monkeypatch.setattr(landing_module, "staged", spied)
+    again = land_all(spark, (*folders[:2], f"{folders[2]}-2"), index, report=report)
+    assert whole(again) == before and [(c.landed, c.repeats) for c in report] == [(0, 24)]
+    assert set(made["keys"].columns) == {"year", "month", "digest"} and made["fresh"].columns == ["digest"]
+    assert made["landing"].count() == 0
+    assert "Exchange" not in made["landing"]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_some_known_trips_among_new_ones(spark, folders, tmp_path, conf, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold)
+    index, report = str(tmp_path / "seen"), []
+    send_file(spark, folders[0], 0)
+    land_all(spark, folders, index, report=report)
+    for k in range(1, len(SENT)):
+        send_file(spark, folders[0], k)
+    found = land_all(spark, (*folders[:2], f"{folders[2]}-2"), index, report=report)
+    expected = land_all(spark, (folders[0], str(tmp_path / "one"), str(tmp_path / "c")), str(tmp_path / "i"))
+    assert whole(found) == whole(expected) and [c.landed for c in report] == [14, 7]
+
+
 def test_one_trip_with_very_many_copies(spark, tmp_path):
     """Copies are reduced before the shuffle: a task per file sends one row of the trip."""
     trip = to_messages(raw_trips(spark, {}), AT)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime
+import pathlib
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from contrail import fixture, registry
 from contrail.operators.enrich import Lookups
 from contrail.plans import batch
-from contrail.scratch import in_pieces
+from contrail.scratch import in_pieces, staged
 from contrail.sinks.store import FolderStore
+from contrail.sinks.topic import publish
 
 DAY = datetime.datetime(1996, 2, 3)
 
@@ -122,3 +126,26 @@ def test_a_table_is_read_in_pieces(spark, tmp_path, conf):
     assert pieces.rdd.getNumPartitions() >= 5 and pieces.count() == 400_000
     assert own.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != own.conf.get("spark.sql.files.maxPartitionBytes")
+
+
+def _shuffle_files(spark) -> int:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+
+def _codecs(folder) -> set[str]:
+    files = list(pathlib.Path(folder).rglob("part-*.parquet"))
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    sent = spark.range(0, 1000, 1, 4).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
+    publish(sent.repartition(5, "key"), "parquet", {"path": f"{tmp_path}/topic"})
+    staged(sent.repartition(5, "key"), "t", path=f"{tmp_path}/t")
+    until = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert _codecs(f"{tmp_path}/t") == {"ZSTD"}
