@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from contrail import fixture, registry
+from contrail import fixture, registry, scratch
 from contrail.operators.enrich import Lookups
 from contrail.plans import batch
 from contrail.scratch import in_pieces, staged
@@ -149,3 +149,11 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
     assert _shuffle_files(spark) <= before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert _codecs(f"{tmp_path}/t") == {"ZSTD"}
+
+
+def test_the_lake_of_broken_messages_and_their_topic_are_lean(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: f"{tmp_path}/shared")
+    assert registry.stream_land_broken(spark, tables).count() == 80
+    for label in ("topic", "raw"):
+        (folder,) = (tmp_path / "shared").glob(f"{label}-*")
+        assert _codecs(folder) == {"ZSTD"}, label
