@@ -34,6 +34,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in store.globStatus(found) or []]
 
 
+def sizes(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """The paths that a pattern matches, in order, with the bytes of each and of all that lies below."""
+    found, store = _at(spark, pattern)
+    paths = [status.getPath() for status in store.globStatus(found) or []]
+    return sorted((p.toString(), store.getContentSummary(p).getLength()) for p in paths)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     found, store = _at(spark, path)
     stream = store.open(found)

@@ -20,7 +20,7 @@ from contrail.operators.audit import observed
 from contrail.operators.enrich import broadcast_limit
 from contrail.operators.messages import from_messages
 from contrail.schemas import MESSAGE_TOPIC
-from contrail.scratch import LEAN, in_pieces, materialise, new_path, shuffles_removed, staged, temporary
+from contrail.scratch import LEAN, in_pieces, in_slices, materialise, new_path, shuffles_removed, staged, temporary
 from contrail.streaming.seen import SeenIndex, identity
 
 # Formats that bring their own ``key`` and ``value`` columns.
@@ -61,7 +61,8 @@ def sized_by_month(rows: DataFrame, file_bytes: int) -> DataFrame:
 
     The histogram of the months, laid end to end, is cut into tasks of equal size: a month that holds
     most rows takes as many as its share, and many small months share one. So a month has at most its
-    size divided by ``file_bytes``, and two, files. ``rows`` is read twice and should be a table."""
+    size divided by ``file_bytes``, and two, files; two more for each slice of a month that is larger
+    than a slice. ``rows`` is read twice and should be a table."""
     spark = rows.sparkSession
     sizes = rows.groupBy("year", "month").agg(F.sum(_text_length(rows)).alias("size"))
     until = F.sum("size").over(Window.orderBy("year", "month"))
@@ -126,16 +127,24 @@ class Landing:
         adaptively, which the stream's may not."""
         index = None if self.index is None else SeenIndex(self.spark, self.index)
         rows = rows.drop("arrival") if index is None else self._unseen(rows, index, label)
+        if index is None:
+            return self._write_sized(rows, label)
         path = new_path(self.spark, "landing")
         staged(rows, "landing", path=path)
-        reader = self.spark if self.file_bytes is None else in_pieces(self.spark, PIECE_BYTES)
-        fresh = reader.read.schema(rows.schema).parquet(path)
+        fresh = self.spark.read.schema(rows.schema).parquet(path)
         trips = fresh.drop("digest")
-        landed = self._write(trips if self.file_bytes is None else sized_by_month(trips, self.file_bytes), label)
-        if index is not None:
-            index.extend(fresh, landed, label)
+        landed = self._write(trips, label) if self.file_bytes is None else self._write_sized(trips, label)
+        index.extend(fresh, landed, label)
         return landed
 
+    def _write_sized(self, rows: DataFrame, label: str) -> int:
+        """Months by size, some months at a time: the rows that are dealt to tasks lie in shuffle files,
+        which are larger than the table."""
+        self._clear(label)
+        pieces = in_pieces(self.spark, PIECE_BYTES)
+        parts = in_slices(rows, "landing", ("year", "month"), pieces, split=True)
+        return sum(self._append(sized_by_month(part, self.file_bytes), label) for part in parts)
+
     def _unseen(self, rows: DataFrame, index: SeenIndex, label: str) -> DataFrame:
         """The first row of each trip that no other batch has brought. The index is asked for identities
         alone, so whole rows of known trips are neither shuffled nor written; the batch is read once
@@ -159,10 +168,16 @@ class Landing:
         return first.join(new, "digest", "left_semi")
 
     def _write(self, rows: DataFrame, label: str) -> int:
-        """Replaces the folders of this batch, so a second attempt leaves no row of the first. Only
-        appends to the lake, for which any committer will do."""
+        """Replaces the folders of this batch, so a second attempt leaves no row of the first."""
+        self._clear(label)
+        return self._append(rows, label)
+
+    def _clear(self, label: str) -> None:
         for folder in matching(self.spark, f"{self.root}/year=*/month=*/{BATCH}={label}"):
             remove(self.spark, folder)
+
+    def _append(self, rows: DataFrame, label: str) -> int:
+        """Only appends to the lake, for which any committer will do."""
         landed = Observation()
         writer = (
             rows.withColumn(BATCH, F.lit(label))

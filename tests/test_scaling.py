@@ -16,6 +16,7 @@ from contrail.plans import batch
 from contrail.scratch import in_pieces, staged
 from contrail.sinks.store import FolderStore
 from contrail.sinks.topic import publish
+from contrail.streaming import landing
 
 DAY = datetime.datetime(1996, 2, 3)
 
@@ -157,3 +158,37 @@ def test_the_lake_of_broken_messages_and_their_topic_are_lean(spark, tables, tmp
     for label in ("topic", "raw"):
         (folder,) = (tmp_path / "shared").glob(f"{label}-*")
         assert _codecs(folder) == {"ZSTD"}, label
+
+
+def test_slices_hold_a_table_once(spark, tmp_path, monkeypatch):
+    """Folders stay together up to the size of a slice; what is read is removed."""
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: f"{tmp_path}/shared")
+    number = F.when(F.col("id") % 5 > 0, F.col("id") % 5).cast("int")
+    df = spark.range(0, 1000, 1, 4).select("id", number.alias("year"), F.lit("Q1").alias("quarter"))
+    by = ("year", "quarter")
+    assert [t.count() for t in scratch.in_slices(df, "t", by, spark)] == [1000]
+    monkeypatch.setattr(scratch, "SLICE_BYTES", 1)
+    monkeypatch.setattr(scratch, "MOST_SLICES", 5)
+    found = []
+    for part in scratch.in_slices(df, "t", by, spark):
+        assert part.columns == df.columns
+        found.append([tuple(r) for r in part.collect()])
+    assert len(found) >= 5 and sorted(r for rows in found for r in rows if r[1]) == sorted(tuple(r) for r in df.filter("year > 0").collect())
+    assert sum(map(len, found)) == 1000
+    whole = [{r[1] for r in rows} for rows in found]
+    assert all(not a & b for i, a in enumerate(whole) for b in whole[:i])
+    monkeypatch.setattr(scratch, "MOST_SLICES", 100)
+    files = [t.count() for t in scratch.in_slices(df, "t", by, spark, split=True)]
+    assert len(files) == 20 and sum(files) == 1000
+    assert [t.count() for t in scratch.in_slices(df.limit(0), "t", by, spark)] == [0]
+    assert not [f for f in (tmp_path / "shared").rglob("part-*")]
+
+
+def test_months_are_dealt_some_at_a_time(spark, tables, monkeypatch):
+    """The rows that are dealt lie in shuffle files, of one slice only."""
+    expected = sorted(map(repr, registry.stream_land_raw(spark, tables).collect()))
+    sizes, sized = [], landing.sized_by_month
+    monkeypatch.setattr(scratch, "SLICE_BYTES", 1)
+    monkeypatch.setattr(landing, "sized_by_month", lambda rows, n: (sizes.append(rows.count()), sized(rows, n))[1])
+    assert sorted(map(repr, registry.stream_land_sized(spark, tables).collect())) == expected
+    assert len(sizes) > 1 and sum(sizes) == len(expected)
