@@ -15,7 +15,17 @@ from contrail.operators.clean import clean, select_quarter
 from contrail.operators.enrich import Lookups, enrich
 from contrail.operators.features import add_departure_hour, engineer_features
 from contrail.plans.feature_tables import feature_groups
-from contrail.sinks.lake import Coverage, by_partition, covered, publish, read_version, write_version
+from contrail.scratch import in_slices, temporary
+from contrail.sinks.lake import (
+    Coverage,
+    Written,
+    WrittenApart,
+    by_partition,
+    covered,
+    publish,
+    read_version,
+    write_version,
+)
 from contrail.sinks.store import FeatureStore, load_table
 
 RUN_LOG = "pipeline_runs"
@@ -100,9 +110,10 @@ def run(
     compact: bool = True,
     from_lake: bool = False,
 ) -> RunResult:
-    """Jobs: one over the lookups, one that reads the raw trips and writes the processed lake, one that
-    groups the trips, and the small writes of tables and log. ``compact`` may be off for raw input in
-    date order (see :func:`write_version`).
+    """Jobs: one over the lookups, one that reads the raw trips and writes the clean ones by partition to
+    a table of the run, one for each slice of that table, which writes the processed lake, one that groups
+    the trips, and the small writes of tables and log. ``compact`` may be off for raw input in date order
+    (see :func:`write_version`); if the names need no shuffle either, the lake is written at once.
 
     A run replaces what its input covers: a quarter whose trips have all gone is emptied. Raw text is
     read and parsed once; its rows, clean rows and covered quarters are observed on the way. With
@@ -135,10 +146,21 @@ def run(
     else:
         with log.stage("process") as stage:
             # Where names are broadcast they need no shuffle, so the rows are dealt before they get any.
-            early = compact and lookups.broadcast(spark)
-            dealt = by_partition(cleaned) if early else cleaned
-            featured = dealt.transform(enrich, lookups).transform(engineer_features)
-            written = write_version(featured, processed_root, compact and not early)
+            broadcast = lookups.broadcast(spark)
+            early = compact and broadcast
+
+            def written_of(trips: DataFrame) -> Written:
+                dealt = by_partition(trips) if early else trips
+                named = dealt.transform(enrich, lookups).transform(engineer_features)
+                return write_version(named, processed_root, compact and not early)
+
+            if broadcast and not compact:
+                written = written_of(cleaned)
+            else:  # with a shuffle, of some partitions at a time
+                with temporary(spark):
+                    parts = in_slices(cleaned, "cleaned", ("year", "quarter"), spark)
+                    written = WrittenApart([written_of(part) for part in parts])
+            featured = cleaned.transform(enrich, lookups).transform(engineer_features)
             stage.records_in, touched = coverage_of_input()
             publish(spark, processed_root, written, featured.schema, touched)
             stage.records_out = written.rows

@@ -24,7 +24,7 @@ from contrail.plans.batch import RUN_LOG, rows_seen, run
 from contrail.plans.feature_tables import feature_groups, feature_table
 from contrail.schemas import CALENDAR_COLUMNS, IDENTITY_COLUMNS, MEASURE_COLUMNS, MESSAGE_TOPIC
 from contrail.schemas import TRIP_COLUMNS
-from contrail.scratch import new_path
+from contrail.scratch import new_path, shuffles_removed
 from contrail.sinks.lake import write_processed
 from contrail.sinks.store import FolderStore, load_features, lookup_features
 from contrail.sinks.topic import publish
@@ -191,7 +191,8 @@ def _grouped_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _csv(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
-    df.write.option("header", True).csv(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.option("header", True).option("compression", "gzip").csv(path)
     return path
 
 

@@ -22,6 +22,7 @@ from contrail.functions.casts import int_column
 from contrail.functions.trips import quarter_label
 from contrail.operators.audit import observed
 from contrail.operators.clean import lower_names
+from contrail.scratch import LEAN, shuffles_removed
 
 MOST_PARTITIONS = 10_000
 VERSION = "version"
@@ -51,6 +52,25 @@ class Written:
     rows: int
     partitions: list[Partition]
 
+    @property
+    def versions(self) -> dict[Partition, str]:
+        return dict.fromkeys(self.partitions, self.version)
+
+
+@dataclass(frozen=True)
+class WrittenApart:
+    """Writes that have no partition in common, to be published as one."""
+
+    parts: list[Written]
+
+    @property
+    def rows(self) -> int:
+        return sum(part.rows for part in self.parts)
+
+    @property
+    def versions(self) -> dict[Partition, str]:
+        return {partition: part.version for part in self.parts for partition in part.partitions}
+
 
 @dataclass(frozen=True)
 class Manifest:
@@ -85,7 +105,11 @@ def current(spark: SparkSession, root: str) -> Manifest | None:
 
 
 def publish(
-    spark: SparkSession, root: str, written: Written, schema: T.StructType, touched: Collection[Partition]
+    spark: SparkSession,
+    root: str,
+    written: Written | WrittenApart,
+    schema: T.StructType,
+    touched: Collection[Partition],
 ) -> Manifest:
     """Puts a version in force for its partitions, and drops those of ``touched`` that it has no rows
     for. If another run publishes at the same time, one of them goes on from the other's manifest."""
@@ -94,7 +118,7 @@ def publish(
         versions = {} if before is None else dict(before.versions)
         for partition in touched:
             versions.pop(partition, None)
-        versions |= dict.fromkeys(written.partitions, written.version)
+        versions |= written.versions
         number = 1 if before is None else before.number + 1
         found = Manifest(number, schema.json(), versions)
         rows = [[*partition, version] for partition, version in sorted(versions.items(), key=str)]
@@ -180,20 +204,24 @@ def write_version(trips: DataFrame, root: str, compact: bool = True) -> Written:
     placed = by_partition(trips) if compact else trips
     seen, version = Observation(), uuid.uuid4().hex
     number = _number(F.col("year"), F.col("quarter"))
-    (
+    writer = (
         placed.withColumn(VERSION, F.lit(version))
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(number).alias("partitions"))
         .write.mode("append")
+        .options(**LEAN)
         .partitionBy("year", "quarter", VERSION)
-        .parquet(root)
     )
+    with shuffles_removed(trips.sparkSession):
+        writer.parquet(root)
     found = observed(seen)
     return Written(version, found.get("rows", 0), _partitions(found.get("partitions", ())))
 
 
-def read_version(spark: SparkSession, root: str, written: Written, schema: T.StructType) -> DataFrame:
+def read_version(
+    spark: SparkSession, root: str, written: Written | WrittenApart, schema: T.StructType
+) -> DataFrame:
     """The rows of one write, published or not."""
-    return read_paths(spark, root, Manifest(0, "", dict.fromkeys(written.partitions, written.version)).paths(root), schema)
+    return read_paths(spark, root, Manifest(0, "", written.versions).paths(root), schema)
 
 
 def read_paths(spark: SparkSession, root: str, paths: list[str], schema: T.StructType) -> DataFrame:

@@ -16,6 +16,7 @@ from contrail.plans import batch
 from contrail.scratch import in_pieces, staged
 from contrail.sinks.store import FolderStore
 from contrail.sinks.topic import publish
+from contrail.sources.lake import read_processed
 from contrail.streaming import landing
 
 DAY = datetime.datetime(1996, 2, 3)
@@ -192,3 +193,36 @@ def test_months_are_dealt_some_at_a_time(spark, tables, monkeypatch):
     monkeypatch.setattr(landing, "sized_by_month", lambda rows, n: (sizes.append(rows.count()), sized(rows, n))[1])
     assert sorted(map(repr, registry.stream_land_sized(spark, tables).collect())) == expected
     assert len(sizes) > 1 and sum(sizes) == len(expected)
+
+
+def test_a_run_deals_some_partitions_at_a_time(spark, tables, tmp_path, monkeypatch):
+    """The lake, tables and counts are those of a run in one piece."""
+    trips = fixture.raw_trips(spark, tables).withColumn("MONTH", F.col("FLIGHT_NUMBER").cast("int") % 12 + 1)
+    trips = trips.withColumn("YEAR", F.when(F.col("FLIGHT_NUMBER").cast("int") % 5 > 0, F.lit("1996")))
+    names = fixture.carriers(spark, tables), fixture.airports(spark, tables)
+    written, write = [], batch.write_version
+    monkeypatch.setattr(batch, "write_version", lambda *given: (written.append(write(*given)), written[-1])[1])
+
+    def made(label):
+        written.clear()
+        store, root = FolderStore(f"{tmp_path}/{label}-store"), f"{tmp_path}/{label}"
+        for given in ((trips,), (trips.withColumn("CANCELLED", F.lit("1")), "Q1")):
+            batch.run(spark, given[0], *names, store, root, *given[1:])
+        log = store.read(spark, batch.RUN_LOG).select("quarter", "stage", "status", "records_in", "records_out")
+        tables_of = [store.read(spark, n).drop("processed_at") for n in ("airline_features", "route_features")]
+        return [sorted(map(repr, df.collect())) for df in (read_processed(spark, root), log, *tables_of)]
+
+    expected = made("whole")
+    assert len(written) == 2 and len(expected[0]) > 10
+    monkeypatch.setattr(scratch, "SLICE_BYTES", 1)
+    assert made("slices") == expected
+    first = written[:-1]
+    assert len(first) > 3 and len({w.version for w in first}) == len(first)
+    assert len({p for w in first for p in w.partitions}) == sum(len(w.partitions) for w in first)
+
+
+def test_trip_files_are_compressed(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark: f"{tmp_path}/shared")
+    assert registry.csv_scan_all_string(spark, tables).count() == 40
+    assert list((tmp_path / "shared").glob("trips_csv-*/*.csv.gz"))
+    assert not list((tmp_path / "shared").glob("trips_csv-*/*.csv"))
