@@ -137,7 +137,8 @@ def _shuffle_files(spark) -> int:
 
 def _codecs(folder) -> set[str]:
     files = list(pathlib.Path(folder).rglob("part-*.parquet"))
-    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    groups = [m.row_group(i) for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups)]
+    return {group.column(0).compression for group in groups}
 
 
 def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
